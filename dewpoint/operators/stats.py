@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from dewpoint.functions import two_places
 from dewpoint.schemas import CODE_LABELS, KNOWN_CODES
+from dewpoint.session import stored
 
 # Fixed texts of the printed report.
 HEAVY_LINE = "=" * 80
@@ -21,8 +24,9 @@ STATISTICS_LABEL = "📈 Statistics:"
 UNKNOWN_MESSAGE = "Unknown"
 NOT_AVAILABLE = "N/A"
 
-# Copies of one alert numbered by one task at a time.
-_COPIES_PER_CHUNK = 100_000
+# How finely running counts split a window with many alerts, or many equal alerts.
+_SALTS = 32
+_COPIES_PER_TASK = 100_000
 
 
 def count_by_code(alerts: DataFrame) -> DataFrame:
@@ -45,83 +49,77 @@ def counts_row(alerts: DataFrame) -> DataFrame:
 def running_counts(alerts: DataFrame) -> DataFrame:
     """Each alert with the counts per code and the total up to and including it.
 
-    Alerts are taken in order of window start, code and then their other fields;
-    codes that are not counted keep their row and change no counter.
+    Alerts are taken in order of window start and counted code; alerts of equal
+    window and code are numbered in some fixed order. Codes that are not counted
+    keep their row, come first in their window and change no counter.
+
+    A running count over one global order would put all alerts into one task.
+    Instead, the counts before an alert are added up from three parts:
+
+    - the days before its day: one row per calendar day,
+    - the groups before its group on that day, where a group is one window, code
+      and salt: at most slides per day x codes x salts rows,
+    - the alerts before it in its group. Equal alerts travel as one row with a
+      number of copies, and the salt splits a window with many different ones.
 
-    A running count over one global order would put all alerts into one task. The
-    counts before an alert are instead added up from three parts: the days before
-    its day (at most one row per calendar day), the windows before its window on
-    that day (at most one row per slide) and the alerts before it in its window.
-    Equal alerts travel as one row with a number of copies until the end.
+    As the alerts are needed both whole and summed, they are written to the work
+    folder first, so that what they are computed from is read once.
     """
     names = list(KNOWN_CODES.values())
     start = F.coalesce(F.col("window.start"), F.lit(""))
-    per_alert = (
-        alerts.groupBy(*alerts.columns)
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .select(
-            "*",
-            start.alias("_start"),
-            F.substring(start, 1, 10).alias("_day"),
-            *[
-                F.when(F.col("code") == c, F.col("_copies")).otherwise(F.lit(0)).alias(f"_{name}")
-                for c, name in KNOWN_CODES.items()
-            ],
-        )
+    distinct = alerts.groupBy(*alerts.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    per_alert = stored(distinct, "alerts").select(
+        "*",
+        F.substring(start, 1, 10).alias("_day"),
+        start.alias("_start"),
+        F.when(F.col("code").isin(*KNOWN_CODES), F.col("code")).otherwise(F.lit("")).alias("_code"),
+        F.pmod(F.xxhash64(*alerts.columns), F.lit(_SALTS)).alias("_salt"),
     )
-    counters = [f"_{name}" for name in names]
-    per_window = per_alert.groupBy("_day", "_start").agg(*[F.sum(c).alias(c) for c in counters])
-    per_day = per_window.groupBy("_day").agg(*[F.sum(c).alias(c) for c in counters])
-
-    before_day = _sums_before(Window.orderBy("_day"), counters)
-    before_window = _sums_before(Window.partitionBy("_day").orderBy("_start"), counters)
-    others = [c for c in alerts.columns if c not in ("window", "code")]
-    before_alert = _sums_before(
-        Window.partitionBy("_start").orderBy("code", "window", *others), counters
+
+    group = ["_start", "_code", "_salt"]
+    per_group = per_alert.groupBy("_day", *group).agg(
+        *[
+            F.sum(F.when(F.col("_code") == c, F.col("_copies")).otherwise(F.lit(0))).alias(name)
+            for c, name in KNOWN_CODES.items()
+        ]
     )
+    per_day = per_group.groupBy("_day").agg(*[F.sum(n).alias(n) for n in names])
+    before_day = Window.orderBy("_day")
+    before_group = Window.partitionBy("_day").orderBy(*group)
+    before_alert = Window.partitionBy(*group).orderBy(*alerts.columns)
 
-    days = per_day.select("_day", *[before_day[c].alias(f"{c}_days") for c in counters])
+    days = per_day.select("_day", *[_sum_before(n, before_day).alias(f"_{n}") for n in names])
     earlier = (
-        per_window.select("_day", "_start", *[before_window[c].alias(c) for c in counters])
+        per_group.select("_day", *group, *[_sum_before(n, before_group).alias(n) for n in names])
         .join(days, "_day")
-        .select("_start", *[(F.col(c) + F.col(f"{c}_days")).alias(f"{c}_before") for c in counters])
+        .select(*group, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in names])
     )
-    numbered = (
-        per_alert.select(
-            *alerts.columns, "_copies", "_start", *[before_alert[c].alias(c) for c in counters]
-        )
-        .join(earlier, "_start")
-        .withColumn("_copy", _copy_numbers())
-    )
-    numbered = _each_copy(numbered)
-    running = [
-        (
-            F.col(f"_{name}")
-            + F.col(f"_{name}_before")
-            + F.when(F.col("code") == c, F.col("_copy")).otherwise(F.lit(0))
-        ).alias(name)
-        for c, name in KNOWN_CODES.items()
-    ]
-    return numbered.select(*alerts.columns, *running).withColumn(
-        "total", sum((F.col(n) for n in names[1:]), F.col(names[0]))
+    numbered = _each_copy(
+        per_alert.withColumn("_before", _sum_before("_copies", before_alert)).join(earlier, group)
     )
+    own = F.col("_before") + F.col("_copy")
+    return numbered.select(
+        *alerts.columns,
+        *[
+            (F.col(name) + F.when(F.col("_code") == c, own).otherwise(F.lit(0))).alias(name)
+            for c, name in KNOWN_CODES.items()
+        ],
+    ).withColumn("total", reduce(Column.__add__, map(F.col, names)))
 
 
-def _sums_before(order, counters: list[str]) -> dict[str, Column]:
+def _sum_before(column: str, order: WindowSpec) -> Column:
     frame = order.rowsBetween(Window.unboundedPreceding, -1)
-    return {c: F.coalesce(F.sum(c).over(frame), F.lit(0)) for c in counters}
-
+    return F.coalesce(F.sum(column).over(frame), F.lit(0))
 
-def _copy_numbers() -> Column:
-    """First number of each chunk of copies."""
-    return F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES_PER_CHUNK)))
 
-
-def _each_copy(chunks: DataFrame) -> DataFrame:
-    """One row per copy, the chunks of one alert spread over the tasks."""
-    last = F.least(F.col("_copy") + F.lit(_COPIES_PER_CHUNK - 1), F.col("_copies"))
-    return chunks.repartition("_start", "_copy").withColumn(
-        "_copy", F.explode(F.sequence(F.col("_copy"), last))
+def _each_copy(alerts: DataFrame) -> DataFrame:
+    """One row per copy, numbered from 1; long runs of copies go to several tasks."""
+    first = F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES_PER_TASK))
+    last = F.least(F.col("_first") + F.lit(_COPIES_PER_TASK - 1), F.col("_copies"))
+    return (
+        alerts.withColumn("_first", F.explode(first))
+        .repartition("_start", "_code", "_salt", "_first")
+        .withColumn("_copy", F.explode(F.sequence(F.col("_first"), last)))
     )
 
 

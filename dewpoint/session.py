@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build(
@@ -42,10 +42,22 @@ def work_folder(spark: SparkSession, name: str) -> str:
     falls back to a temporary folder; a cluster session without it is refused,
     since executors could not see a folder of the driver's machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="dewpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/dewpoint/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written to a work folder and read back.
+
+    For a result that is needed more than once: its inputs are read one time, and
+    a lost executor does not bring them back.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

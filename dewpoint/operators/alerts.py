@@ -20,7 +20,7 @@ def match_rules(
     *,
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
-    bins: int = 64,
+    bins: int = 256,
     salts: int = 8,
 ) -> DataFrame:
     """One row per window and rule whose ranges contain both averages.
@@ -143,7 +143,9 @@ def _match_on_bins(
         F.inline(places),
     ).filter(F.col("_bin").isNotNull())
     keys = ["_measure", "_bin", "_salt"]
-    return looking.join(filed, keys, "inner").filter(_contains()).drop(*keys)
+    # Sizes are estimated without the copies per bin and salt, so Spark would broadcast
+    # far more than it expects; a merge join holds the rules of one key and can spill.
+    return looking.join(filed.hint("merge"), keys, "inner").filter(_contains()).drop(*keys)
 
 
 def shape_alerts(matches: DataFrame, now: Column | datetime | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 
 from dewpoint import session
+from dewpoint.operators import load_rules
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 from dewpoint.sources import ConsoleEndpoint, KafkaEndpoint, KafkaSettings
 from dewpoint.streaming import run, start_fan_out, start_monitor
@@ -43,6 +44,8 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if args.job == "watch":
             console = [] if args.quiet else [ConsoleEndpoint()]
+            if console:
+                load_rules(spark, args.rules).show()
             queries = [
                 start_fan_out(
                     spark,

@@ -7,6 +7,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build(
     app: str = "dewpoint",
@@ -20,10 +27,14 @@ def build(
     """A session with a fixed time zone and, if given, a streaming checkpoint root.
 
     Readings carry naive local times, so the zone decides which window they fall
-    in; it is set here rather than inherited from the machine. Adaptive execution
+    in; it is set here rather than inherited from the machine. Streaming state is
+    kept by RocksDB, outside the heap and saved as changes only, since starting at
+    the beginning of a long topic can hold many windows open. Adaptive execution
     keeps Spark's default (on).
     """
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", time_zone)
+    for key, value in STATE_STORE.items():
+        builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
     if checkpoint_root:

@@ -46,8 +46,8 @@ def start_fan_out(
 ) -> StreamingQuery:
     """One query that reads the input once, keeps one state and writes every sink.
 
-    The rule file is read, and its size checked, in every micro-batch, so an edit
-    shows in the next one. All alerts of a batch carry the same time. Sinks see a
+    The rule file is read, and its size checked, in every micro-batch that closes
+    windows, so an edit shows in the next one. All alerts of a batch carry the same time. Sinks see a
     batch at least once; a topic may hold an alert twice after a failure, under the
     same window and code.
     """
@@ -59,6 +59,9 @@ def start_fan_out(
         now = datetime.now(timezone.utc)
         closed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # Most batches close no window; counting also completes their state.
+            if closed.count() == 0:
+                return
             alerts = alerts_of(closed, load_rules(closed.sparkSession, rules_path), now)
             for sink in windows_to:
                 write_batch(closed, sink, batch_id)

@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from dewpoint.operators import (
+    count_by_code,
     decode_alerts,
     decode_readings,
     encode_alerts,
     encode_readings,
     shape_alerts,
+    sliding_averages,
 )
 from dewpoint.schemas import READING_SCHEMA
 
@@ -59,6 +61,20 @@ def test_wrong_fields(spark):
     assert decode_one(spark, READING[:-1] + ',"extra":[1,2]}').sensor_id == "a"
 
 
+def test_text_is_parsed_once(spark):
+    messages = spark.range(9).select(
+        F.format_string('{"code":"%d"}', "id").alias("value"),
+        F.current_timestamp().alias("timestamp"),
+    )
+    frames = [
+        sliding_averages(decode_readings(messages)),
+        count_by_code(decode_alerts(messages)),
+    ]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_unusual_numbers(spark):
     assert math.isnan(decode_one(spark, '{"temperature":NaN}').temperature)
     assert decode_one(spark, '{"temperature":1e400}').temperature == math.inf

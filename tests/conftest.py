@@ -19,7 +19,7 @@ def spark():
         "tests",
         master="local[8]",
         conf={
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -51,4 +51,5 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def default_rules(spark: SparkSession) -> DataFrame:
     """The four shipped rules, ready for matching."""
-    return clean_rules(spark.createDataFrame(list(DEFAULT_RULES), RULE_SCHEMA))
+    table = spark.createDataFrame(list(DEFAULT_RULES), RULE_SCHEMA).coalesce(1)
+    return clean_rules(table)

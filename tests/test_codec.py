@@ -3,6 +3,8 @@ import math
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dewpoint.operators import (
@@ -16,6 +18,7 @@ from dewpoint.operators import (
 )
 from dewpoint.schemas import READING_SCHEMA
 
+NO_SHRINK = [Phase.explicit, Phase.generate]
 READING = '{"id":"a","temperature":1.5,"humidity":2.5,"timestamp":"2024-11-24T12:00:00"}'
 
 
@@ -147,3 +150,32 @@ def test_alert_time_is_now_by_default(spark):
     )
     row = shape_alerts(matches).first()
     assert row["timestamp"] == row["window"]["start"]
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, phases=NO_SHRINK,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(
+    st.tuples(
+        st.text(st.characters(exclude_categories=["Cs"]), max_size=20),
+        st.floats(allow_nan=False, allow_infinity=False),
+        st.one_of(st.none(), st.floats(0, 100)),
+        st.datetimes(datetime(1950, 1, 1), datetime(2100, 1, 1)).map(
+            lambda t: t.replace(fold=0)
+        ),
+    ),
+    min_size=1, max_size=30))
+def test_encoding_and_decoding_is_the_identity(spark, rows):
+    readings = spark.createDataFrame(
+        rows, "id string, temperature double, humidity double, timestamp timestamp"
+    )
+    messages = encode_readings(readings).withColumn("timestamp", F.current_timestamp())
+    decoded = decode_readings(messages).drop("kafka_timestamp").collect()
+    assert sorted(map(repr, map(tuple, decoded))) == sorted(map(repr, rows))
+
+
+def test_naive_times_are_read_in_the_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert decode_one(spark, READING).event_time == datetime(2024, 11, 24, 3)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -2,13 +2,14 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dewpoint.operators import sliding_averages
 from dewpoint.operators.windows import _micros
 
+NO_SHRINK = [Phase.explicit, Phase.generate]
 NOON = datetime(2024, 11, 24, 12)
 SCHEMA = "event_time timestamp, temperature double, humidity double"
 
@@ -69,7 +70,7 @@ def test_empty(spark):
     "size, slide", [("30 seconds", "10 seconds"), ("25 seconds", "10 seconds"),
                     ("10 seconds", "10 seconds"), ("1 minute", "30 seconds")]
 )
-@settings(max_examples=5, deadline=None,
+@settings(max_examples=5, deadline=None, derandomize=True, phases=NO_SHRINK,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(
     st.tuples(st.integers(-90_000, 90_000), st.integers(-50, 50), st.integers(0, 100)),

@@ -34,7 +34,14 @@ from dewpoint.plans import alerts_of, event_messages, event_readings, windows_of
 from dewpoint.plans.events import EVENTS_SCHEMA
 from dewpoint.schemas import DEFAULT_RULES, KNOWN_CODES, RULE_SCHEMA, WINDOW_SCHEMA
 from dewpoint.session import work_folder
-from dewpoint.sources import AVAILABLE_NOW, FileEndpoint, read_batch, read_stream, write_batch, write_stream
+from dewpoint.sources import (
+    AVAILABLE_NOW,
+    FileEndpoint,
+    read_batch,
+    read_stream,
+    write_batch,
+    write_stream,
+)
 from dewpoint.streaming import start_fan_out
 
 # Alert time used where the text of an alert is compared.

@@ -21,18 +21,23 @@ def match_rules(
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     bins: int = 256,
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """One row per window and rule whose ranges contain both averages.
 
     The rule table is measured first (one aggregate over it). Up to
     ``broadcast_rows`` and ``broadcast_bytes`` it is broadcast and tested against
     each window; beyond either it is joined on bins of the bounded ranges, so no
-    task ever holds the whole table. Both ways give the same rows.
+    task ever holds the whole table. Both ways give the same rows. ``salts`` is over
+    how many tasks the windows of one bin are spread, by default a quarter of the
+    shuffle partitions, but 4 to 64.
     """
     size = _measure(rules)
     if size.n <= broadcast_rows and size.bytes <= broadcast_bytes:
         return windows.join(F.broadcast(rules), _contains(), "inner")
+    if salts is None:
+        partitions = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = min(max(partitions // 4, 4), 64)
     return _match_on_bins(windows, rules, size, bins, salts)
 
 

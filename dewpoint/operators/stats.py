@@ -24,9 +24,10 @@ STATISTICS_LABEL = "📈 Statistics:"
 UNKNOWN_MESSAGE = "Unknown"
 NOT_AVAILABLE = "N/A"
 
-# How finely running counts split a window with many alerts, or many equal alerts.
+# How finely running counts split the alerts of one window and code, and how many
+# equal alerts one row stands for at most.
 _SALTS = 32
-_COPIES_PER_TASK = 100_000
+_COPIES_PER_ROW = 100_000
 
 
 def count_by_code(alerts: DataFrame) -> DataFrame:
@@ -59,8 +60,8 @@ def running_counts(alerts: DataFrame) -> DataFrame:
     - the days before its day: one row per calendar day,
     - the groups before its group on that day, where a group is one window, code
       and salt: at most slides per day x codes x salts rows,
-    - the alerts before it in its group. Equal alerts travel as one row with a
-      number of copies, and the salt splits a window with many different ones.
+    - the alerts before it in its group. Equal alerts travel as rows with a number
+      of copies, and the salt splits a window with many alerts or many copies.
 
     As the alerts are needed both whole and summed, they are written to the work
     folder first, so that what they are computed from is read once.
@@ -68,25 +69,34 @@ def running_counts(alerts: DataFrame) -> DataFrame:
     names = list(KNOWN_CODES.values())
     start = F.coalesce(F.col("window.start"), F.lit(""))
     distinct = alerts.groupBy(*alerts.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    per_alert = stored(distinct, "alerts").select(
-        "*",
-        F.substring(start, 1, 10).alias("_day"),
-        start.alias("_start"),
-        F.when(F.col("code").isin(*KNOWN_CODES), F.col("code")).otherwise(F.lit("")).alias("_code"),
-        F.pmod(F.xxhash64(*alerts.columns), F.lit(_SALTS)).alias("_salt"),
+    first = F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES_PER_ROW))
+    per_alert = (
+        stored(distinct, "alerts")
+        .withColumn("_first", F.explode(first))
+        .select(
+            *alerts.columns,
+            "_first",
+            F.least(F.col("_copies") - F.col("_first") + 1, F.lit(_COPIES_PER_ROW)).alias("_n"),
+            F.substring(start, 1, 10).alias("_day"),
+            start.alias("_start"),
+            F.when(F.col("code").isin(*KNOWN_CODES), F.col("code"))
+            .otherwise(F.lit(""))
+            .alias("_code"),
+            F.pmod(F.xxhash64(*alerts.columns, "_first"), F.lit(_SALTS)).alias("_salt"),
+        )
     )
 
     group = ["_start", "_code", "_salt"]
     per_group = per_alert.groupBy("_day", *group).agg(
         *[
-            F.sum(F.when(F.col("_code") == c, F.col("_copies")).otherwise(F.lit(0))).alias(name)
+            F.sum(F.when(F.col("_code") == c, F.col("_n")).otherwise(F.lit(0))).alias(name)
             for c, name in KNOWN_CODES.items()
         ]
     )
     per_day = per_group.groupBy("_day").agg(*[F.sum(n).alias(n) for n in names])
     before_day = Window.orderBy("_day")
     before_group = Window.partitionBy("_day").orderBy(*group)
-    before_alert = Window.partitionBy(*group).orderBy(*alerts.columns)
+    before_alert = Window.partitionBy(*group).orderBy(*alerts.columns, "_first")
 
     days = per_day.select("_day", *[_sum_before(n, before_day).alias(f"_{n}") for n in names])
     earlier = (
@@ -94,8 +104,10 @@ def running_counts(alerts: DataFrame) -> DataFrame:
         .join(days, "_day")
         .select(*group, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in names])
     )
-    numbered = _each_copy(
-        per_alert.withColumn("_before", _sum_before("_copies", before_alert)).join(earlier, group)
+    numbered = (
+        per_alert.withColumn("_before", _sum_before("_n", before_alert))
+        .join(earlier, group)
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     )
     own = F.col("_before") + F.col("_copy")
     return numbered.select(
@@ -112,17 +124,6 @@ def _sum_before(column: str, order: WindowSpec) -> Column:
     return F.coalesce(F.sum(column).over(frame), F.lit(0))
 
 
-def _each_copy(alerts: DataFrame) -> DataFrame:
-    """One row per copy, numbered from 1; long runs of copies go to several tasks."""
-    first = F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES_PER_TASK))
-    last = F.least(F.col("_first") + F.lit(_COPIES_PER_TASK - 1), F.col("_copies"))
-    return (
-        alerts.withColumn("_first", F.explode(first))
-        .repartition("_start", "_code", "_salt", "_first")
-        .withColumn("_copy", F.explode(F.sequence(F.col("_first"), last)))
-    )
-
-
 def format_alerts(alerts: DataFrame) -> DataFrame:
     """Alerts with a ``report`` column: the printed block, defaults for missing fields."""
 

@@ -1,7 +1,7 @@
 import pytest
 
+from dewpoint import __main__ as command_line
 from dewpoint import session
-from dewpoint.__main__ import parser
 from dewpoint.sources import (
     ConsoleEndpoint,
     FileEndpoint,
@@ -130,8 +130,43 @@ def test_session_settings(spark):
 
 
 def test_command_line():
-    args = parser().parse_args(
+    args = command_line.parser().parse_args(
         "watch --readings in --alerts out --rules r.csv --checkpoint c".split()
     )
     assert (args.size, args.slide, args.watermark) == ("30 seconds", "10 seconds", "5 seconds")
-    assert parser().parse_args("monitor --alerts a --checkpoint c".split()).group is None
+    assert command_line.parser().parse_args("monitor --alerts a --checkpoint c".split()).group is None
+
+
+def test_command_line_starts_the_jobs(monkeypatch):
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "one:9092")
+    started, stopped = {}, []
+
+    class Session:
+        def stop(self):
+            stopped.append(True)
+
+    monkeypatch.setattr(command_line.session, "build", lambda name: Session())
+    monkeypatch.setattr(command_line, "run", lambda spark, queries: None)
+    monkeypatch.setattr(
+        command_line,
+        "start_fan_out",
+        lambda spark, source, rules, **options: started.update(
+            source=source, rules=rules, **options
+        ),
+    )
+    monkeypatch.setattr(
+        command_line,
+        "start_monitor",
+        lambda spark, source, checkpoint: started.update(monitored=source) or [],
+    )
+    command_line.main(
+        "watch --readings in --alerts out --rules r.csv --checkpoint c "
+        "--max-offsets 7 --quiet".split()
+    )
+    assert started["source"].topic == "in" and started["source"].max_offsets == 7
+    assert [sink.topic for sink in started["alerts_to"]] == ["out"]
+    assert started["rules"] == "r.csv" and started["windows_to"] == []
+    command_line.main("monitor --alerts out --checkpoint c --group g".split())
+    assert started["monitored"].starting_offsets == "latest"
+    assert started["monitored"].group_prefix == "g"
+    assert stopped == [True, True]

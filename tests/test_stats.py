@@ -59,10 +59,10 @@ def test_running_counts(spark):
     assert len(rows) == len(items)
 
 
-@pytest.mark.parametrize("copies_per_task", [2, 100_000])
-def test_running_counts_with_copies_and_crowds(spark, monkeypatch, copies_per_task):
+@pytest.mark.parametrize("copies_per_row", [2, 100_000])
+def test_running_counts_with_copies_and_crowds(spark, monkeypatch, copies_per_row):
     """Copies, many alerts of one window and code, and alerts without a window."""
-    monkeypatch.setattr(stats, "_COPIES_PER_TASK", copies_per_task)
+    monkeypatch.setattr(stats, "_COPIES_PER_ROW", copies_per_row)
     items = (
         [(START, "104", "same")] * 7
         + [(START, "104", f"m{i}") for i in range(60)]

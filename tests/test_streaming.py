@@ -7,7 +7,16 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from dewpoint.operators import count_by_code, decode_alerts, decode_readings, sliding_averages
+from dewpoint.operators import (
+    count_by_code,
+    decode_alerts,
+    decode_readings,
+    default_rules,
+    encode_alerts,
+    match_rules,
+    shape_alerts,
+    sliding_averages,
+)
 from dewpoint.schemas import ENVELOPE_SCHEMA, WINDOW_SCHEMA
 from dewpoint.sources import (
     AVAILABLE_NOW,
@@ -262,6 +271,19 @@ def test_monitor(spark, readings, rule_file, tmp_path):
     assert [sink_of(query) for query in queries] == ["console", "console"]
 
 
+def test_large_rule_tables_on_a_stream(spark, topic, tmp_path):
+    topic.send((0, 45), (600, 45))
+    windows = sliding_averages(decode_readings(topic.messages(spark)))
+    alerts = shape_alerts(match_rules(windows, default_rules(spark), broadcast_rows=0))
+    found = FileEndpoint(str(tmp_path / "alerts"))
+    write_stream(
+        encode_alerts(alerts), found, checkpoint=str(tmp_path / "c"), trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    assert fired(spark, found) == [
+        (s, "104") for s in ("11:59:40", "11:59:50", "12:00:00")
+    ]
+
+
 def test_counts_go_on_after_a_restart(spark, tmp_path):
     folder = FileEndpoint(str(tmp_path / "alerts"))
     latest = {}

@@ -64,7 +64,9 @@ class FileEndpoint:
     max_files: int | None = None
 
     def source_options(self) -> dict[str, str]:
-        options = {}
+        # Folders per micro-batch are no partition columns: a stream that started
+        # before the first of them would stop at the unexpected column.
+        options = {"recursiveFileLookup": "true"}
         if self.glob:
             options["pathGlobFilter"] = self.glob
         if self.max_files:

@@ -313,6 +313,27 @@ def test_counts_go_on_after_a_restart(spark, tmp_path):
     assert latest == {"101": 2, "104": 2}
 
 
+def test_counts_started_before_the_first_batch(spark, tmp_path):
+    (tmp_path / "alerts").mkdir()
+    folder = FileEndpoint(str(tmp_path / "alerts"))
+    totals = []
+    query = (
+        count_by_code(decode_alerts(read_stream(spark, folder)))
+        .writeStream.outputMode("complete")
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .foreachBatch(lambda batch, _: totals.extend(r.alerts for r in batch.collect()))
+        .start()
+    )
+    try:
+        for batch_id in range(2):
+            alert = spark.createDataFrame([('{"code":"101"}',)], "value string")
+            write_batch(alert, folder, batch_id)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    assert totals == [1, 2]
+
+
 def test_run_stops_all_when_one_fails(spark, tmp_path):
     spark.streams.resetTerminated()
     rate = spark.readStream.format("rate").load()

@@ -28,8 +28,8 @@ from dewpoint.operators import (
     load_rules,
     match_rules,
     running_counts,
-    sliding_averages,
 )
+from dewpoint.operators import sliding_averages as averages_of
 from dewpoint.plans import alerts_of, event_messages, event_readings, windows_of
 from dewpoint.plans.events import EVENTS_SCHEMA
 from dewpoint.schemas import DEFAULT_RULES, KNOWN_CODES, RULE_SCHEMA, WINDOW_SCHEMA
@@ -61,7 +61,7 @@ def _messages(spark: SparkSession, sf_dir: str, key: str | None = "id") -> DataF
 
 
 def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sliding_averages(_readings(spark, sf_dir))
+    return averages_of(_readings(spark, sf_dir))
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,22 +159,22 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- windows ----------------------------------------------------------------
 
 
-def window_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sliding_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_rows(_windows(spark, sf_dir))
 
 
-def window_averages_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sliding_averages_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = _readings(spark, sf_dir)
-    return _window_rows(sliding_averages(readings, "1 minute", "30 seconds", "10 seconds"))
+    return _window_rows(averages_of(readings, "1 minute", "30 seconds", "10 seconds"))
 
 
-def window_averages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sliding_averages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows a stream closes; the last ones stay open in its state."""
     folder = work_folder(spark, "windows")
     # A stream reads a folder or a pattern; the braces make a pattern of one name.
     events = FileEndpoint(f"{sf_dir}/{{events}}.parquet", schema=EVENTS_SCHEMA)
     closed = FileEndpoint(f"{folder}/closed", schema=WINDOW_SCHEMA)
-    windows = sliding_averages(event_readings(read_stream(spark, events)))
+    windows = averages_of(event_readings(read_stream(spark, events)))
     write_stream(
         windows, closed, checkpoint=f"{folder}/checkpoint", trigger=AVAILABLE_NOW
     ).awaitTermination()
@@ -316,9 +316,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         message_keys,
         unkeyed_readings,
         malformed_messages,
-        window_averages,
-        window_averages_minute,
-        window_averages_stream,
+        sliding_averages,
+        sliding_averages_minute,
+        sliding_averages_stream,
         rules_clean,
         alerts,
         alerts_from_messages,
@@ -435,9 +435,9 @@ UNION ALL SELECT 'badly timed', count(*), count(user_id), count(value), 0 FROM e
 UNION ALL SELECT 'other json', count(*), 0, 0, 0 FROM events
 UNION ALL SELECT 'prose', count(*), 0, 0, 0 FROM documents
 UNION ALL SELECT 'html', count(*), 0, 0, 0 FROM pages""",
-        "window_averages": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL}",
-        "window_averages_minute": f"WITH {_windows_sql(60, 30)} {WINDOW_ROWS_SQL}",
-        "window_averages_stream": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
+        "sliding_averages": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL}",
+        "sliding_averages_minute": f"WITH {_windows_sql(60, 30)} {WINDOW_ROWS_SQL}",
+        "sliding_averages_stream": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
         f"WHERE window_end {CLOSED_SQL}",
         "rules_clean": PART_RULES_SQL,
         "alerts": found,

@@ -24,6 +24,6 @@ def test_tables_may_be_folders_of_files(spark, tmp_path):
     """As they are at any size worth a cluster; the stream reads them too."""
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     events.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
-    for name in ("window_averages", "window_averages_stream"):
+    for name in ("sliding_averages", "sliding_averages_stream"):
         found = driver.queries()[name](spark, str(tmp_path)).collect()
         assert sorted(found) == sorted(driver.queries()[name](spark, SF_DIR).collect())

@@ -1,6 +1,7 @@
-"""``python -m dewpoint watch|monitor``: the two jobs against Kafka.
+"""``python -m dewpoint watch|monitor``: the two jobs against Kafka or folders.
 
-Brokers and credentials come from the ``KAFKA_*`` environment variables.
+A name with a slash is a folder of message files, any other name a topic. Brokers
+and credentials come from the ``KAFKA_*`` environment variables.
 """
 
 from __future__ import annotations
@@ -10,7 +11,13 @@ import argparse
 from dewpoint import session
 from dewpoint.operators import load_rules
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
-from dewpoint.sources import ConsoleEndpoint, KafkaEndpoint, KafkaSettings
+from dewpoint.sources import (
+    AVAILABLE_NOW,
+    ConsoleEndpoint,
+    FileEndpoint,
+    KafkaEndpoint,
+    KafkaSettings,
+)
 from dewpoint.streaming import run, start_fan_out, start_monitor
 
 
@@ -19,27 +26,34 @@ def parser() -> argparse.ArgumentParser:
     jobs = commands.add_subparsers(dest="job", required=True)
 
     watch = jobs.add_parser("watch", help="readings to alerts")
-    watch.add_argument("--readings", required=True, help="topic with readings")
-    watch.add_argument("--alerts", required=True, help="topic for alerts")
+    watch.add_argument("--readings", required=True, help="topic or folder with readings")
+    watch.add_argument("--alerts", required=True, help="topic or folder for alerts")
     watch.add_argument("--rules", required=True, help="rule CSV all executors can read")
     watch.add_argument("--checkpoint", required=True)
     watch.add_argument("--size", default=WINDOW_SIZE)
     watch.add_argument("--slide", default=WINDOW_SLIDE)
     watch.add_argument("--watermark", default=WATERMARK)
-    watch.add_argument("--trigger", default=None)
-    watch.add_argument("--max-offsets", type=int, default=None)
+    watch.add_argument("--trigger", default=None, help="interval or availableNow")
+    watch.add_argument("--max-offsets", type=int, default=None, help="per micro-batch")
+    watch.add_argument("--min-partitions", type=int, default=None, help="reading tasks")
     watch.add_argument("--quiet", action="store_true", help="nothing on the console")
 
     monitor = jobs.add_parser("monitor", help="alerts to the console")
-    monitor.add_argument("--alerts", required=True, help="topic with alerts")
+    monitor.add_argument("--alerts", required=True, help="topic or folder with alerts")
     monitor.add_argument("--checkpoint", required=True)
     monitor.add_argument("--group", default=None, help="start of the consumer group's name")
+    monitor.add_argument("--trigger", default=None, help="interval or availableNow")
     return commands
 
 
+def endpoint(name: str, **topic_options) -> KafkaEndpoint | FileEndpoint:
+    if "/" in name:
+        return FileEndpoint(name)
+    return KafkaEndpoint(KafkaSettings.from_env(), name, **topic_options)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    settings = KafkaSettings.from_env()
     spark = session.build(f"dewpoint-{args.job}")
     try:
         if args.job == "watch":
@@ -49,10 +63,14 @@ def main(argv: list[str] | None = None) -> None:
             queries = [
                 start_fan_out(
                     spark,
-                    KafkaEndpoint(settings, args.readings, max_offsets=args.max_offsets),
+                    endpoint(
+                        args.readings,
+                        max_offsets=args.max_offsets,
+                        min_partitions=args.min_partitions,
+                    ),
                     args.rules,
                     checkpoint=args.checkpoint,
-                    alerts_to=[KafkaEndpoint(settings, args.alerts), *console],
+                    alerts_to=[endpoint(args.alerts), *console],
                     windows_to=console,
                     size=args.size,
                     slide=args.slide,
@@ -61,11 +79,17 @@ def main(argv: list[str] | None = None) -> None:
                 )
             ]
         else:
-            source = KafkaEndpoint(
-                settings, args.alerts, starting_offsets="latest", group_prefix=args.group
+            source = endpoint(
+                args.alerts, starting_offsets="latest", group_prefix=args.group
             )
-            queries = start_monitor(spark, source, checkpoint=args.checkpoint)
-        run(spark, queries)
+            queries = start_monitor(
+                spark, source, checkpoint=args.checkpoint, trigger=args.trigger
+            )
+        if args.trigger == AVAILABLE_NOW:
+            for query in queries:
+                query.awaitTermination()
+        else:
+            run(spark, queries)
     except KeyboardInterrupt:
         pass
     finally:

@@ -157,16 +157,22 @@ def test_command_line_starts_the_jobs(monkeypatch):
     monkeypatch.setattr(
         command_line,
         "start_monitor",
-        lambda spark, source, checkpoint: started.update(monitored=source) or [],
+        lambda spark, source, **options: started.update(monitored=source) or [],
     )
     command_line.main(
         "watch --readings in --alerts out --rules r.csv --checkpoint c "
-        "--max-offsets 7 --quiet".split()
+        "--max-offsets 7 --min-partitions 99 --quiet".split()
     )
     assert started["source"].topic == "in" and started["source"].max_offsets == 7
+    assert started["source"].min_partitions == 99
     assert [sink.topic for sink in started["alerts_to"]] == ["out"]
     assert started["rules"] == "r.csv" and started["windows_to"] == []
     command_line.main("monitor --alerts out --checkpoint c --group g".split())
     assert started["monitored"].starting_offsets == "latest"
     assert started["monitored"].group_prefix == "g"
     assert stopped == [True, True]
+
+
+def test_command_line_takes_folders_for_topics():
+    assert command_line.endpoint("/data/readings") == FileEndpoint("/data/readings")
+    assert command_line.endpoint("s3a://bucket/x").path == "s3a://bucket/x"

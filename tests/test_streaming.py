@@ -1,5 +1,7 @@
 import json
 import os
+import subprocess
+import sys
 import time
 from datetime import datetime, timedelta
 from pathlib import Path
@@ -29,6 +31,10 @@ from dewpoint.sources import (
 )
 from dewpoint.streaming import run, start_fan_out, start_monitor, start_separate
 
+LOCAL = (
+    "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 "
+    "pyspark-shell"
+)
 NOON = datetime(2024, 11, 24, 12)
 
 
@@ -334,6 +340,33 @@ def test_counts_started_before_the_first_batch(spark, tmp_path):
     assert totals == [1, 2]
 
 
+def test_command_line_on_folders(spark, readings, rule_file, tmp_path):
+    """In a process and session of its own."""
+    found = str(tmp_path / "alerts")
+
+    def dewpoint(command):
+        done = subprocess.run(
+            [sys.executable, "-m", "dewpoint", *command.split(), "--trigger", "availableNow"],
+            cwd=Path(__file__).parents[1],
+            env=os.environ | {"PYSPARK_SUBMIT_ARGS": LOCAL},
+            capture_output=True,
+            text=True,
+            timeout=300,
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+        return done.stdout
+
+    shown = dewpoint(
+        f"watch --readings {readings.path} --alerts {found} --rules {rule_file} "
+        f"--checkpoint {tmp_path}/c1"
+    )
+    assert "humidity_min" in shown and "window_start" in shown and "It's too hot" in shown
+    assert fired(spark, FileEndpoint(found)) == EXPECTED
+
+    shown = dewpoint(f"monitor --alerts {found} --checkpoint {tmp_path}/c2")
+    assert "🚨 ALERT: It's too cold" in shown and "Total:    12" in shown
+
+
 def test_run_stops_all_when_one_fails(spark, tmp_path):
     spark.streams.resetTerminated()
     rate = spark.readStream.format("rate").load()

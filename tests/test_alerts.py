@@ -56,6 +56,12 @@ def test_shipped_rules(spark, way):
     assert [" ".join(sorted(c)) for c in codes] == [c for _, _, c in CASES]
 
 
+def test_other_bounds_than_the_shipped_ones(spark):
+    table = rules(spark, [(None, None, 38.0, 300.0), (None, None, None, 35.0)])
+    found = match_rules(windows(spark, [(39.95, 54.96)]), table).collect()
+    assert [r.code for r in found] == ["0"]
+
+
 @pytest.mark.parametrize("way", WAYS)
 def test_open_and_crossed_rules(spark, way):
     averages = [(1.0, 1.0), (None, None), (math.nan, 2.0), (math.inf, -math.inf)]

@@ -44,6 +44,15 @@ from dewpoint.sources import (
 )
 from dewpoint.streaming import start_fan_out
 
+# The queries for training data come with a subpackage that may be absent.
+try:
+    import corpus_pipeline
+    import dewpoint.llm.queries as llm
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "dewpoint.llm", "dewpoint.llm.queries"):
+        raise
+    corpus_pipeline = llm = None
+
 # Alert time used where the text of an alert is compared.
 ALERT_TIME = datetime(2024, 2, 1, tzinfo=timezone.utc)
 
@@ -332,7 +341,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         alert_report,
         alert_statistics,
     )
-    return {query.__name__: query for query in named}
+    found = {query.__name__: query for query in named}
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 # -- SQL --------------------------------------------------------------------
@@ -422,7 +434,12 @@ RUNNING_SQL = ", ".join(
 def oracle_sql() -> dict[str, str]:
     found = f"WITH {ALERTS_SQL} SELECT * FROM alerts"
     counts = f"WITH {ALERTS_SQL} SELECT code, count(*) AS alerts FROM alerts GROUP BY code"
-    return {
+    more = {}
+    if llm is not None:
+        more = llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return more | {
         "reading_roundtrip": f"WITH {READINGS_SQL} SELECT * FROM readings",
         "message_keys": "SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS messages "
         "FROM events GROUP BY user_id",

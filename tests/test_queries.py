@@ -4,13 +4,16 @@ import __spark_entry__ as driver
 from oracle import differences
 
 SF_DIR = "/root/testdata/sf0.001"
+# Queries for training data have tests of their own.
+MORE = set(driver.llm.queries()) | {"pipeline"} if driver.llm else set()
+NAMES = [name for name in driver.queries() if name not in MORE]
 
 
 def test_every_query_has_sql():
-    assert set(driver.oracle_sql()) == set(driver.queries())
+    assert set(driver.oracle_sql()) - MORE == set(NAMES)
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_sql(spark, name):
     query, sql = driver.queries()[name], driver.oracle_sql()[name]
     assert differences(spark, SF_DIR, query, sql) == []

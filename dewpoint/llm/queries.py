@@ -12,6 +12,7 @@ from dewpoint.llm.licences import scan_licences
 from dewpoint.llm.mixing import mix_sources
 from dewpoint.llm.packing import pack_documents
 from dewpoint.llm.sharding import shard_documents
+from dewpoint.llm.quality import score_quality
 from dewpoint.llm.secrets import KINDS, scan_secrets, span_text
 from dewpoint.llm.topk import quantised, top_k, usable
 from dewpoint.llm.urls import UrlRule, judge_urls
@@ -44,6 +45,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_quality(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan_secrets(docs).select("doc_id", "base", "spans")
@@ -83,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_mixing,
         op4_url_filter,
         op6_sharding,
+        op7_quality,
         op8_secret_scan,
         op9_licence_scan,
         op10_top_k,

@@ -34,6 +34,13 @@ class Vocabulary:
 
     def _parts(self, chunk: str) -> tuple[tuple[int, ...], int]:
         """Buckets of the tokens of a piece without spaces, and that of its last word."""
+        # Most pieces are a word, or a word and a sign: no need for the pattern.
+        core, sign = chunk, ()
+        if chunk[-1] in ".,":
+            core, sign = chunk[:-1], (self.bucket(chunk[-1]),)
+        if core.isalpha() and (len(core) == 1 or not core.isupper()):
+            word = self.bucket(core.lower())
+            return (word, *sign), word
         out, word = [], -1
         for match in TOKEN.finditer(chunk):
             token = match.group()

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dewpoint.llm.common import table
+from dewpoint.llm.embeddings import near_embeddings
 from dewpoint.llm.licences import scan_licences
+from dewpoint.llm.minhash import near_duplicates
 from dewpoint.llm.mixing import mix_sources
 from dewpoint.llm.packing import pack_documents
 from dewpoint.llm.sharding import shard_documents
@@ -18,6 +20,10 @@ from dewpoint.llm.topk import quantised, top_k, usable
 from dewpoint.llm.urls import UrlRule, judge_urls
 
 
+def op1_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -41,6 +47,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -85,9 +95,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
+        op1_near_embeddings,
         op2_packing,
         op3_mixing,
         op4_url_filter,
+        op5_near_duplicates,
         op6_sharding,
         op7_quality,
         op8_secret_scan,
@@ -145,6 +157,23 @@ SELECT r.doc_id, CAST(r.size AS BIGINT) AS size, e.s AS source_size, e.target,
 FROM rows_ r JOIN edges e ON e.source IS NOT DISTINCT FROM r.source
 """
 
+NEAR_EMBEDDINGS_SQL = """
+WITH RECURSIVE units AS (
+  SELECT vec_id, CASE WHEN len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+    THEN [CAST(x AS DOUBLE) FOR x IN embedding] END AS v FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9::DOUBLE
+  WHERE a.v IS NOT NULL AND b.v IS NOT NULL),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+       min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
+FROM embeddings e JOIN reached r ON r.a = e.vec_id GROUP BY e.vec_id
+"""
+
 TOP_K_SQL = """
 WITH vectors AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
@@ -164,4 +193,4 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": MIXING_SQL, "op10_top_k": TOP_K_SQL}
+    return {"op1_near_embeddings": NEAR_EMBEDDINGS_SQL, "op3_mixing": MIXING_SQL, "op10_top_k": TOP_K_SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dewpoint.llm.common import beside, kept, text_hash, words_in
@@ -36,7 +36,50 @@ def mix_sources(
     rows equal in both are taken alike. Null texts have no words, and a source without
     words has target 0. No documents give no rows. Other columns are not read.
     """
-    rows = kept(
+    rows = _sized(docs, id_column, text, source)
+    limits, n = _limits(rows, weights, share, most)
+    copies = _copies(F.col("_hash"))
+    return beside(rows, limits, ["source"], n).select(
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        copies.alias("copies"),
+        (F.col("size") * copies).alias("taken"),
+    )
+
+
+def apply_mix(
+    docs: DataFrame,
+    *,
+    id_column: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = (3, 1, 2),
+    share: tuple[int, int] = (3, 2),
+    most: int = 2,
+) -> DataFrame:
+    """``docs`` as the mix of ``mix_sources`` takes them: each row as often as it is taken."""
+    limits, n = _limits(_sized(docs, id_column, text, source), weights, share, most)
+    keyed = docs.withColumn("_source_", F.col(source).cast("string"))
+    placed = beside(
+        keyed,
+        limits.select(
+            F.col("source").alias("_source_"),
+            F.struct("copies", "threshold", "at_threshold").alias("_limit_"),
+        ),
+        ["_source_"],
+        n,
+    )
+    copies = _copies(text_hash(F.col(id_column), F.col(text)), "_limit_.")
+    return placed.withColumn("_copy_", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(
+        *[F.col(c) for c in docs.columns]
+    )
+
+
+def _sized(docs: DataFrame, id_column: str, text: str, source: str) -> DataFrame:
+    return kept(
         docs.select(
             F.col(id_column).alias("doc_id"),
             F.col(source).cast("string").alias("source"),
@@ -44,23 +87,21 @@ def mix_sources(
             text_hash(F.col(id_column), F.col(text)).alias("_hash"),
         )
     )
+
+
+def _limits(
+    rows: DataFrame, weights: tuple[int, ...], share: tuple[int, int], most: int
+) -> tuple[DataFrame, int]:
+    """Target, whole copies and threshold per source, and the number of sources."""
     plan = kept(targets(rows, weights=weights, share=share, most=most))
     n = plan.count()
-    limits = beside(plan, thresholds(rows, plan, n), ["source"], n)
-    copies = F.col("copies") + F.when(
-        (F.col("_hash") < F.col("threshold"))
-        | ((F.col("_hash") == F.col("threshold")) & F.col("at_threshold")),
-        F.lit(1),
-    ).otherwise(F.lit(0))
-    return beside(rows, limits, ["source"], n).select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        copies.cast("long").alias("copies"),
-        (F.col("size") * copies).cast("long").alias("taken"),
-    )
+    return kept(beside(plan, thresholds(rows, plan, n), ["source"], n)), n
+
+
+def _copies(hash_: Column, prefix: str = "") -> Column:
+    threshold, at = F.col(f"{prefix}threshold"), F.col(f"{prefix}at_threshold")
+    once_more = (hash_ < threshold) | ((hash_ == threshold) & at)
+    return (F.col(f"{prefix}copies") + F.when(once_more, 1).otherwise(0)).cast("long")
 
 
 def targets(

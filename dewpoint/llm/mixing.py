@@ -188,12 +188,13 @@ def thresholds(rows: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
         F.lit(0).cast("long").alias("at"),
     )
     for used in range(0, HASH_BITS, LEVEL_BITS):
-        inside = beside(rows, state.select("source", "prefix"), ["source"], sources).filter(
+        inside = beside(rows, state.drop("at"), ["source"], sources).filter(
             F.shiftright("_hash", HASH_BITS - used) == F.col("prefix")
         )
+        # The budget rides along, so that each level reads the one before once.
         sums = inside.groupBy(
             "source", F.shiftright("_hash", HASH_BITS - used - LEVEL_BITS).alias("bucket")
-        ).agg(F.sum("size").alias("words"))
+        ).agg(F.sum("size").alias("words"), F.first("budget").alias("budget"))
         before = (
             Window.partitionBy("source")
             .orderBy("bucket")
@@ -201,8 +202,7 @@ def thresholds(rows: DataFrame, plan: DataFrame, sources: int) -> DataFrame:
         )
         summed = sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
         ends = (
-            beside(summed, state.select("source", "budget"), ["source"], sources)
-            .filter(F.col("before") <= F.col("budget"))
+            summed.filter(F.col("before") <= F.col("budget"))
             .groupBy("source")
             .agg(
                 F.max(F.struct("bucket", "before", "words")).alias("end"),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dewpoint.llm.common import BROADCAST_ROWS, kept
@@ -89,9 +90,9 @@ def near_duplicates(
     no rows; other columns are not read.
 
     Work is on distinct texts. Candidates share a band of samples. Within a bucket all
-    texts are compared with one leader, those not linked to it with a next leader, and so
-    on until none are left, so a large family costs one comparison a text and bucket, not
-    all pairs. A text that misses the leader narrowly could still be linked to a member:
+    texts are compared with one leader, those not linked to it with four, then sixteen
+    leaders among them, and so on until none are left, so a large family costs one
+    comparison a text and bucket, not all pairs, and unlike texts take few rounds. A text that misses the leader narrowly could still be linked to a member:
     1 - similarity is a metric, so only texts within twice the distance can be, and these
     are compared with the members if the links found so far don't join them.
     """
@@ -178,28 +179,34 @@ def _links(
         content.select("key", "text").join(wanted, "key", "left_semi").dropDuplicates(["key"])
     )
     reach = 1 - threshold
-    judged = None  # all (key, leader, similarity) so far
-    met = None  # bucket, key, similarity to the bucket's leader of the round
+    rounds: list[DataFrame] = []  # bucket, key, leader, similarity
+    leaders = 1
     while True:
-        leaders = members.groupBy("bucket").agg(
-            F.min("key").alias("leader"), F.count(F.lit(1)).alias("n")
+        first = Window.partitionBy("bucket").orderBy("key")
+        leading = (
+            members.withColumn("_rank", F.row_number().over(first))
+            .filter(F.col("_rank") <= leaders)
+            .select("bucket", F.col("key").alias("leader"))
         )
-        candidates = kept(
-            members.join(leaders.filter("n > 1").drop("n"), "bucket").filter("key <> leader")
-        )
-        if not candidates.limit(1).count():
+        # Leaders meet each other once, the others meet every leader of their bucket.
+        met = members.join(leading, "bucket").filter("key > leader")
+        pairs = met.select("key", "leader").distinct()
+        judged = kept(_similarities(pairs, texts, weights, words))
+        if not judged.count():
             break
-        pairs = candidates.select("key", "leader").distinct()
-        if judged is not None:
-            pairs = pairs.join(judged, ["key", "leader"], "left_anti")
-        fresh = kept(_similarities(pairs, texts, weights, words))
-        judged = fresh if judged is None else judged.union(fresh)
-        outcome = candidates.join(judged, ["key", "leader"])
-        met = kept(outcome) if met is None else met.union(kept(outcome))
-        members = outcome.filter(F.col("similarity") < threshold).select("bucket", "key")
-    if judged is None:
+        outcome = kept(met.join(judged, ["key", "leader"]))
+        rounds.append(outcome)
+        # A leader is done, and so is who is linked to one; the rest needs other leaders.
+        linked = outcome.filter(F.col("similarity") >= threshold).select("bucket", "key")
+        done = linked.union(leading.select("bucket", F.col("leader").alias("key")))
+        members = kept(members.join(done, ["bucket", "key"], "left_anti"))
+        leaders *= 4
+    if not rounds:
         return texts.limit(0).select("key", F.col("key").alias("leader"))
-    links = judged.filter(F.col("similarity") >= threshold).select("key", "leader")
+    met = reduce(DataFrame.union, rounds)
+    links = kept(
+        met.filter(F.col("similarity") >= threshold).select("key", "leader").distinct()
+    )
     # Narrow misses against the members of the leader they missed, unless joined already.
     near = met.filter(F.col("similarity") >= 1 - 2 * reach)
     named = near.join(
@@ -224,7 +231,6 @@ def _links(
         )
         .select("key", F.col("other").alias("leader"))
         .distinct()
-        .join(judged, ["key", "leader"], "left_anti")
     )
     late = _similarities(rest, texts, weights, words).filter(F.col("similarity") >= threshold)
     return links.union(kept(late).select("key", "leader"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -90,11 +89,9 @@ def near_duplicates(
     no rows; other columns are not read.
 
     Work is on distinct texts. Candidates share a band of samples. Within a bucket all
-    texts are compared with one leader, those not linked to it with four, then sixteen
-    leaders among them, and so on until none are left, so a large family costs one
-    comparison a text and bucket, not all pairs, and unlike texts take few rounds. A text that misses the leader narrowly could still be linked to a member:
-    1 - similarity is a metric, so only texts within twice the distance can be, and these
-    are compared with the members if the links found so far don't join them.
+    texts are first compared with one leader, so that a large family is joined by one
+    comparison a text and bucket. What is still in different components is then compared
+    pair by pair in blocks (see ``_across``), so no link between candidates is lost.
     """
     content = docs.select(
         F.col(id_column).alias("doc_id"),
@@ -178,62 +175,99 @@ def _links(
     texts = kept(
         content.select("key", "text").join(wanted, "key", "left_semi").dropDuplicates(["key"])
     )
-    reach = 1 - threshold
-    rounds: list[DataFrame] = []  # bucket, key, leader, similarity
-    leaders = 1
-    while True:
-        first = Window.partitionBy("bucket").orderBy("key")
-        leading = (
-            members.withColumn("_rank", F.row_number().over(first))
-            .filter(F.col("_rank") <= leaders)
-            .select("bucket", F.col("key").alias("leader"))
+    # First everyone against one leader: this joins large families at one row a text.
+    led = members.join(members.groupBy("bucket").agg(F.min("key").alias("leader")), "bucket")
+    pairs = led.select("key", "leader").filter("key <> leader").distinct()
+    judged = kept(_similarities(pairs, texts, weights, words))
+    links = judged.filter(F.col("similarity") >= threshold).select("key", "leader")
+    found = components(links, "key", "leader").withColumnRenamed("vertex", "key")
+    labelled = kept(
+        led.join(judged, ["key", "leader"], "left")
+        .join(found, "key", "left")
+        .select(
+            "bucket",
+            "key",
+            F.coalesce("component", "key").alias("component"),
+            F.coalesce("similarity", F.lit(1.0)).alias("near"),
         )
-        # Leaders meet each other once, the others meet every leader of their bucket.
-        met = members.join(leading, "bucket").filter("key > leader")
-        pairs = met.select("key", "leader").distinct()
-        judged = kept(_similarities(pairs, texts, weights, words))
-        if not judged.count():
-            break
-        outcome = kept(met.join(judged, ["key", "leader"]))
-        rounds.append(outcome)
-        # A leader is done, and so is who is linked to one; the rest needs other leaders.
-        linked = outcome.filter(F.col("similarity") >= threshold).select("bucket", "key")
-        done = linked.union(leading.select("bucket", F.col("leader").alias("key")))
-        members = kept(members.join(done, ["bucket", "key"], "left_anti"))
-        leaders *= 4
-    if not rounds:
-        return texts.limit(0).select("key", F.col("key").alias("leader"))
-    met = reduce(DataFrame.union, rounds)
-    links = kept(
-        met.filter(F.col("similarity") >= threshold).select("key", "leader").distinct()
     )
-    # Narrow misses against the members of the leader they missed, unless joined already.
-    near = met.filter(F.col("similarity") >= 1 - 2 * reach)
-    named = near.join(
-        components(links, "key", "leader").withColumnRenamed("vertex", "key"), "key", "left"
-    ).withColumn("component", F.coalesce("component", "key"))
-    split = (
-        named.groupBy("bucket", "leader")
+    # Then the members of different components, where a bucket has several.
+    mixed = (
+        labelled.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high")
-        .select("bucket", "leader")
-    )
-    open_ = kept(named.join(split, ["bucket", "leader"]))
-    missed = open_.filter(F.col("similarity") < threshold).withColumnsRenamed(
-        {"key": "other", "similarity": "missed", "component": "apart"}
+        .select("bucket")
     )
-    rest = (
-        open_.filter(F.col("similarity") >= threshold)
-        .join(missed, ["bucket", "leader"])
-        .filter(
-            (F.col("component") != F.col("apart"))
-            & (F.col("similarity") - F.col("missed") <= reach + 1e-9)
+    late = _across(labelled.join(mixed, "bucket"), texts, weights, words, threshold)
+    return links.union(kept(late))
+
+
+def _across(
+    members: DataFrame,
+    texts: DataFrame,
+    weights: Weights,
+    words: int,
+    threshold: float,
+    block: int = 128,
+) -> DataFrame:
+    """Links ``key, leader`` that join members of one bucket in different components.
+
+    A bucket's members, ordered by component, form blocks of ``block`` texts; pairs of
+    blocks go to tasks unless both are of one component, and a task emits only links.
+    Pairs joined meanwhile are skipped, and so are those that their similarities to the
+    bucket's leader tell apart: 1 - similarity is a metric.
+    """
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("component", "key"))
+    placed = members.withColumn("block", F.floor((place - 1) / block).cast("int"))
+    blocks = kept(
+        placed.join(texts, "key")
+        .groupBy("bucket", "block")
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.sort_array(F.collect_list(F.struct("key", "component", "near", "text"))).alias("m"),
         )
-        .select("key", F.col("other").alias("leader"))
+    )
+    others = blocks.withColumnsRenamed({c: f"o_{c}" for c in ("block", "low", "high", "m")})
+    one = "low = high AND o_low = o_high AND low = o_low"
+    reach = 1 - threshold
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        shingler, row, out = Shingler(words), frame.iloc[0], []
+        same = row["block"] == row["o_block"]
+        parent: dict[bytes, bytes] = {}
+
+        def top(x: bytes) -> bytes:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        def sets(items) -> list:
+            return [
+                (i["key"], i["component"], i["near"], (h, weights.of(h, c)))
+                for i in items
+                for h, c in [shingler.counted(i["text"])]
+            ]
+
+        left = sets(row["m"])
+        right = left if same else sets(row["o_m"])
+        for i, (key, component, near, own) in enumerate(left):
+            for other, other_component, other_near, theirs in right[i + 1 if same else 0 :]:
+                a, b = top(component), top(other_component)
+                if a == b or abs(near - other_near) > reach + 1e-9:
+                    continue
+                if weighted_jaccard(own, theirs) >= threshold:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((key, other))
+        return pd.DataFrame(out, columns=["key", "leader"])
+
+    return (
+        blocks.join(others, "bucket")
+        .filter(f"block <= o_block AND NOT ({one})")
+        .groupBy("bucket", "block", "o_block")
+        .applyInPandas(compare, "key binary, leader binary")
         .distinct()
     )
-    late = _similarities(rest, texts, weights, words).filter(F.col("similarity") >= threshold)
-    return links.union(kept(late).select("key", "leader"))
 
 
 def _similarities(

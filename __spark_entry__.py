@@ -21,6 +21,7 @@ from dewpoint.operators import (
     decode_alerts,
     decode_readings,
     default_rules,
+    each_once,
     encode_alerts,
     encode_readings,
     format_alerts,
@@ -42,7 +43,7 @@ from dewpoint.sources import (
     write_batch,
     write_stream,
 )
-from dewpoint.streaming import start_fan_out
+from dewpoint.streaming import start_fan_out, start_monitor
 
 # The queries for training data come with a subpackage that may be absent.
 try:
@@ -257,6 +258,23 @@ def alerts_many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def alerts_rules_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``alerts_many_rules``, with one more rule whose bounds lie far from all others."""
+    far = default_rules(spark).limit(1).select(
+        F.lit(0).alias("id"),
+        F.lit(None).cast("double").alias("humidity_min"),
+        F.lit(None).cast("double").alias("humidity_max"),
+        F.lit(-1e9).alias("temperature_min"),
+        F.lit(1e9).alias("temperature_max"),
+        F.lit("far").alias("code"),
+        F.lit("far").alias("message"),
+    )
+    rules = clean_rules(_part_rules(spark, sf_dir)).unionByName(far)
+    return match_rules(_windows(spark, sf_dir), rules).groupBy("code").agg(
+        F.count(F.lit(1)).alias("alerts")
+    )
+
+
 def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages on disk to alert messages on disk through the streaming job."""
     folder = work_folder(spark, "alerts")
@@ -302,6 +320,49 @@ def alert_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(latest)
 
 
+def alert_counts_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of alert messages of which every batch was delivered twice."""
+    folder = work_folder(spark, "replayed")
+    topic, latest = FileEndpoint(f"{folder}/alerts"), f"{folder}/latest"
+    for hour in (0, 1):  # the repeat carries another alert time
+        time = ALERT_TIME.replace(hour=hour)
+        found = alerts_of(_windows(spark, sf_dir), default_rules(spark), time)
+        write_batch(encode_alerts(found), topic)
+    counts = count_by_code(each_once(decode_alerts(read_stream(spark, topic))))
+    (
+        counts.writeStream.outputMode("complete")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(latest))
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.parquet(latest)
+
+
+def alert_reports_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports as the monitor writes them to a folder."""
+    folder = work_folder(spark, "reports")
+    topic, reports = FileEndpoint(f"{folder}/alerts"), FileEndpoint(f"{folder}/reports")
+    found = _alerts(spark, sf_dir).withColumns({c: F.round(c, 6) for c in ("t_avg", "h_avg")})
+    write_batch(encode_alerts(found), topic)
+    for query in start_monitor(
+        spark,
+        topic,
+        checkpoint=f"{folder}/checkpoint",
+        reports_to=reports,
+        statistics_to=FileEndpoint(f"{folder}/statistics"),
+        trigger=AVAILABLE_NOW,
+    ):
+        query.awaitTermination()
+    report = F.col("value").cast("string")
+    return read_batch(spark, reports).select(
+        F.regexp_extract(report, "Window: +(.{19}) to", 1).alias("window_start"),
+        F.regexp_extract(report, "Code: +([^\n]*)", 1).alias("code"),
+        report.alias("report"),
+    )
+
+
 def alert_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running_counts(_alerts(spark, sf_dir)).select(
         F.col("window.start").alias("window_start"), "code", *KNOWN_CODES.values(), "total"
@@ -333,10 +394,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         alerts_from_messages,
         alerts_json_roundtrip,
         alerts_many_rules,
+        alerts_rules_outlier,
         alerts_stream,
         alert_counts,
         alert_counts_row,
         alert_counts_stream,
+        alert_counts_replayed,
+        alert_reports_stream,
         alert_running_counts,
         alert_report,
         alert_statistics,
@@ -434,6 +498,19 @@ RUNNING_SQL = ", ".join(
 def oracle_sql() -> dict[str, str]:
     found = f"WITH {ALERTS_SQL} SELECT * FROM alerts"
     counts = f"WITH {ALERTS_SQL} SELECT code, count(*) AS alerts FROM alerts GROUP BY code"
+    reports = f"""
+WITH {ALERTS_SQL}
+SELECT window_start, code, concat_ws(chr(10),
+  repeat('=', 80),
+  '🚨 ALERT: ' || message,
+  repeat('-', 80),
+  '📊 Code:        ' || code,
+  '🌡️  Temperature: ' || printf('%.2f', t_avg) || '°C',
+  '💧 Humidity:    ' || printf('%.2f', h_avg) || '%',
+  '⏰ Window:      ' || window_start || ' to ' || window_end,
+  '🕐 Alert Time:  2024-02-01 00:00:00',
+  repeat('=', 80)) AS report
+FROM alerts"""
     more = {}
     if llm is not None:
         more = llm.oracle_sql()
@@ -476,19 +553,15 @@ SELECT window_start, code, {RUNNING_SQL}
 FROM alerts
 WINDOW so_far AS (ORDER BY window_start, code
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
-        "alert_report": f"""
-WITH {ALERTS_SQL}
-SELECT window_start, code, concat_ws(chr(10),
-  repeat('=', 80),
-  '🚨 ALERT: ' || message,
-  repeat('-', 80),
-  '📊 Code:        ' || code,
-  '🌡️  Temperature: ' || printf('%.2f', t_avg) || '°C',
-  '💧 Humidity:    ' || printf('%.2f', h_avg) || '%',
-  '⏰ Window:      ' || window_start || ' to ' || window_end,
-  '🕐 Alert Time:  2024-02-01 00:00:00',
-  repeat('=', 80)) AS report
-FROM alerts""",
+        "alert_report": reports,
+        "alert_reports_stream": reports,
+        "alert_counts_replayed": counts,
+        "alerts_rules_outlier": f"""
+WITH {_windows_sql()}, rules AS ({PART_RULES_SQL}
+UNION ALL SELECT 0, NULL, NULL, -1e9, 1e9, 'far', 'far')
+SELECT code, count(*) AS alerts
+{MATCH_SQL}
+GROUP BY code""",
         "alert_statistics": f"""
 WITH {ALERTS_SQL}, counts AS (SELECT {COUNTS_SQL} FROM alerts)
 SELECT concat_ws(chr(10), '📈 Statistics:', '   Too dry:  ' || too_dry,

@@ -41,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     monitor = jobs.add_parser("monitor", help="alerts to the console")
     monitor.add_argument("--alerts", required=True, help="topic or folder with alerts")
     monitor.add_argument("--checkpoint", required=True)
+    monitor.add_argument("--reports", default=None, help="topic or folder for all reports")
+    monitor.add_argument("--statistics", default=None, help="topic or folder for the counts")
     monitor.add_argument("--group", default=None, help="start of the consumer group's name")
     monitor.add_argument("--trigger", default=None, help="interval or availableNow")
     return commands
@@ -83,7 +85,12 @@ def main(argv: list[str] | None = None) -> None:
                 args.alerts, starting_offsets="latest", group_prefix=args.group
             )
             queries = start_monitor(
-                spark, source, checkpoint=args.checkpoint, trigger=args.trigger
+                spark,
+                source,
+                checkpoint=args.checkpoint,
+                reports_to=endpoint(args.reports) if args.reports else ConsoleEndpoint(),
+                statistics_to=endpoint(args.statistics) if args.statistics else ConsoleEndpoint(),
+                trigger=args.trigger,
             )
         if args.trigger == AVAILABLE_NOW:
             for query in queries:

@@ -11,6 +11,7 @@ from dewpoint.operators.rules import clean_rules, default_rules, load_rules, rea
 from dewpoint.operators.stats import (
     count_by_code,
     counts_row,
+    each_once,
     format_alerts,
     format_counts,
     running_counts,
@@ -24,6 +25,7 @@ __all__ = [
     "decode_alerts",
     "decode_readings",
     "default_rules",
+    "each_once",
     "encode_alerts",
     "encode_readings",
     "format_alerts",

@@ -10,35 +10,60 @@ from pyspark.sql import functions as F
 from dewpoint.functions import in_range
 from dewpoint.schemas import BOUND_COLUMNS
 
-BROADCAST_ROWS = 1_000
+# What the filed rules may take when they are broadcast; beyond it they are merge-joined.
 BROADCAST_BYTES = 4 * 1024 * 1024
+MEASURES = {"temperature": "t_avg", "humidity": "h_avg"}
 
 
 def match_rules(
     windows: DataFrame,
     rules: DataFrame,
     *,
-    broadcast_rows: int = BROADCAST_ROWS,
+    levels: int = 8,
+    crowded: int = 4_096,
     broadcast_bytes: int = BROADCAST_BYTES,
-    bins: int = 256,
-    salts: int | None = None,
 ) -> DataFrame:
     """One row per window and rule whose ranges contain both averages.
 
-    The rule table is measured first (one aggregate over it). Up to
-    ``broadcast_rows`` and ``broadcast_bytes`` it is broadcast and tested against
-    each window; beyond either it is joined on bins of the bounded ranges, so no
-    task ever holds the whole table. Both ways give the same rows. ``salts`` is over
-    how many tasks the windows of one bin are spread, by default a quarter of the
-    shuffle partitions, but 4 to 64.
+    One equi-join for every rule table. Each measure is cut into ``2 ** levels`` bins at
+    quantiles of the rules' bounds; a value's bin is the number of edges that are not above
+    it, so bins keep the order of all doubles, infinities and NaN included. Bins nest into
+    cells of twice the length per level, and a rule is filed in the at most
+    ``2 * levels`` cells that make up its range, under the measure that needs fewer bins. A
+    window looks in its cell of every level that is used, so it meets a rule once;
+    the exact test follows. The rules of a cell that holds more than ``crowded`` of them
+    are dealt to several parts, and the windows of that cell look in each.
+
+    The rules are measured first (two aggregates over them, whose results are bounded by
+    the number of cells). If the filed rules take at most ``broadcast_bytes`` they are
+    broadcast, else merge-joined: the same join with the same rows.
     """
-    size = _measure(rules)
-    if size.n <= broadcast_rows and size.bytes <= broadcast_bytes:
-        return windows.join(F.broadcast(rules), _contains(), "inner")
-    if salts is None:
-        partitions = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = min(max(partitions // 4, 4), 64)
-    return _match_on_bins(windows, rules, size, bins, salts)
+    edges = _edges(rules, levels)
+    filed = _filed(rules, edges, levels)
+    cells = filed.groupBy("_measure", "_level", "_cell").agg(F.count(F.lit(1)).alias("n"))
+    measured = cells.withColumn(
+        "_parts", F.ceil(F.col("n") / crowded).cast("int")
+    ).groupBy("_measure", "_level").agg(
+        F.sum("n").alias("n"),
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("n") > crowded, F.struct("_cell", "_parts")))
+        ).alias("parts"),
+    ).collect()
+    if not measured:
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rules.schema.fields]
+        return windows.filter(F.lit(False)).select(*windows.columns, *none)
+    dealt = filed.withColumn(
+        "_part", F.pmod(F.xxhash64(*rules.columns), _parts(measured)).cast("int")
+    )
+    keys = ["_measure", "_level", "_cell", "_part"]
+    looking = (
+        windows.select(*windows.columns, F.inline(_places(measured, edges)))
+        .filter(F.col("_cell").isNotNull())
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), _parts(measured) - 1)))
+    )
+    size = _bytes(rules) * sum(row["n"] for row in measured)
+    hinted = F.broadcast(dealt) if size <= broadcast_bytes else dealt.hint("merge")
+    return looking.join(hinted, keys, "inner").filter(_contains()).drop(*keys)
 
 
 def _contains() -> Column:
@@ -47,110 +72,120 @@ def _contains() -> Column:
     ) & in_range(F.col("h_avg"), F.col("humidity_min"), F.col("humidity_max"))
 
 
-def _measure(rules: DataFrame) -> Row:
-    """Row count, text size and the least and greatest finite bound per measure."""
-
-    def finite(name: str) -> Column:
-        value = F.col(name)
-        return F.when(F.abs(value) < F.lit(float("inf")), value)
+def _bytes(rules: DataFrame) -> int:
+    """Size of the longest rule, rounded up."""
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rules.columns]
+    longest = rules.agg(F.max(sum(texts, F.lit(0)))).first()[0]
+    return (longest or 0) + 64
+
+
+def _edges(rules: DataFrame, levels: int) -> dict[str, list[float]]:
+    """Per measure the at most 2**levels - 1 inner edges of its bins, rising."""
+    shares = [i / 2**levels for i in range(1, 2**levels)]
+    found = []
+    for measure in MEASURES:
+        bounds = rules.select(
+            F.explode(F.array(f"{measure}_min", f"{measure}_max")).alias("bound")
+        ).filter("bound IS NOT NULL")
+        found.append(
+            bounds.agg(
+                F.array_sort(
+                    F.array_distinct(F.percentile_approx("bound", shares, 100_000))
+                ).alias(measure)
+            )
+        )
+    return {m: list(frame.first()[0] or []) for m, frame in zip(MEASURES, found, strict=True)}
 
-    def limits(measure: str) -> list[Column]:
-        low, high = finite(f"{measure}_min"), finite(f"{measure}_max")
-        return [
-            F.least(F.min(low), F.min(high)).alias(f"{measure}_low"),
-            F.greatest(F.max(low), F.max(high)).alias(f"{measure}_high"),
-        ]
 
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rules.columns]
-    return rules.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0)).alias("bytes"),
-        *limits("temperature"),
-        *limits("humidity"),
-    ).first()
+def _bin(value: Column, edges: list[float]) -> Column:
+    """How many edges are not above the value; null for null."""
+    known = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
+    return F.when(value.isNotNull(), F.size(F.filter(known, lambda e: e <= value)))
 
 
-def _match_on_bins(
-    windows: DataFrame, rules: DataFrame, size: Row, bins: int, salts: int
-) -> DataFrame:
-    """Equi-join on (measure, bin, salt), then the exact test.
+def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> DataFrame:
+    """Rules with ``_measure, _level, _cell``, a row for each cell of their range.
 
-    A rule is filed under the one measure its range cuts into fewer bins, in every
-    bin that range touches; a rule without any bound is filed under "any". A
-    window looks in its bin of either measure and in "any", so it meets each rule
-    at most once. The salt spreads the windows of a crowded bin; every rule is
-    repeated once per salt.
+    A rule without bounds is filed once under "any"; crossed bounds never match.
     """
+    last = 2**levels - 1
+    ends = {
+        m: (
+            F.coalesce(_bin(F.col(f"{m}_min"), edges[m]), F.lit(0)),
+            F.coalesce(_bin(F.col(f"{m}_max"), edges[m]), F.lit(last)),
+        )
+        for m in MEASURES
+    }
+    bounded = {m: F.col(f"{m}_min").isNotNull() | F.col(f"{m}_max").isNotNull() for m in MEASURES}
+    spread = {
+        m: F.when(bounded[m], ends[m][1] - ends[m][0]).otherwise(F.lit(last + 1)) for m in MEASURES
+    }
+    by_temperature = spread["temperature"] <= spread["humidity"]
+    measure = (
+        F.when(~bounded["temperature"] & ~bounded["humidity"], "any")
+        .when(by_temperature, "temperature")
+        .otherwise("humidity")
+    )
 
-    def bin_of(value: Column, measure: str) -> Column:
-        low, high = size[f"{measure}_low"], size[f"{measure}_high"]
-        start = low if low is not None else 0.0
-        width = (high - start) / bins if high is not None and high > start else 1.0
-        place = (value - F.lit(start)) / F.lit(width)
-        # NaN passes through greatest() and lands in the last bin, as it sorts last.
-        inside = F.least(F.greatest(place, F.lit(0.0)), F.lit(float(bins - 1)))
-        return F.when(value.isNotNull(), F.floor(inside).cast("int"))
-
-    def first_bin(measure: str) -> Column:
-        return F.coalesce(bin_of(F.col(f"{measure}_min"), measure), F.lit(0))
+    def of_measure(side: int) -> Column:
+        return (
+            F.when(F.col("_measure") == "any", F.lit(0))
+            .when(F.col("_measure") == "temperature", ends["temperature"][side])
+            .otherwise(ends["humidity"][side])
+        )
 
-    def last_bin(measure: str) -> Column:
-        return F.coalesce(bin_of(F.col(f"{measure}_max"), measure), F.lit(bins - 1))
+    placed = (
+        rules.withColumn("_measure", measure)
+        .withColumn("_first", of_measure(0))
+        .withColumn("_last", of_measure(1))
+        .filter("_first <= _last")
+    )
+    cells = []
+    for level in range(levels + 1):
+        low = F.ceil(F.col("_first") / 2**level).cast("int")
+        high = F.floor((F.col("_last") + 1) / 2**level).cast("int")
+        for cell, odd in ((low, low % 2 == 1), (high - 1, high % 2 == 1)):
+            here = F.struct(F.lit(level).alias("_level"), cell.alias("_cell"))
+            cells.append(F.when((low < high) & odd, here))
+    return placed.select(
+        *rules.columns,
+        "_measure",
+        F.inline(F.filter(F.array(*cells), lambda c: c.isNotNull())),
+    )
 
-    def spread(measure: str) -> Column:
-        """Bins the range touches; null without a bound."""
-        bounded = F.col(f"{measure}_min").isNotNull() | F.col(f"{measure}_max").isNotNull()
-        return F.when(bounded, last_bin(measure) - first_bin(measure))
 
-    by_temperature = F.coalesce(spread("temperature"), F.lit(bins)) <= F.coalesce(
-        spread("humidity"), F.lit(bins)
-    )
-    unbounded = F.lit(True)
-    for name in BOUND_COLUMNS:
-        unbounded = unbounded & F.col(name).isNull()
-    filed = (
-        rules.withColumn(
-            "_measure",
-            F.when(unbounded, F.lit("any"))
-            .when(by_temperature, F.lit("temperature"))
-            .otherwise(F.lit("humidity")),
-        )
-        .withColumn(
-            "_first",
-            F.when(unbounded, F.lit(0))
-            .when(by_temperature, first_bin("temperature"))
-            .otherwise(first_bin("humidity")),
+def _places(measured: list[Row], edges: dict[str, list[float]]) -> Column:
+    """The cells a window looks in: one for each measure and level that holds rules."""
+    places = []
+    for row in sorted(measured, key=lambda r: (r["_measure"], r["_level"])):
+        level = row["_level"]
+        if row["_measure"] == "any":
+            cell = F.lit(0)
+        else:
+            place = _bin(F.col(MEASURES[row["_measure"]]), edges[row["_measure"]])
+            cell = F.floor(place / 2**level).cast("int")
+        places.append(
+            F.struct(
+                F.lit(row["_measure"]).alias("_measure"),
+                F.lit(level).alias("_level"),
+                cell.alias("_cell"),
+            )
         )
-        .withColumn(
-            "_last",
-            F.when(unbounded, F.lit(0))
-            .when(by_temperature, last_bin("temperature"))
-            .otherwise(last_bin("humidity")),
-        )
-        .filter("_first <= _last")  # crossed bounds never match
-        .withColumn("_bin", F.explode(F.sequence("_first", "_last")))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .drop("_first", "_last")
-    )
-    places = F.array(
-        F.struct(
-            F.lit("temperature").alias("_measure"),
-            bin_of(F.col("t_avg"), "temperature").alias("_bin"),
-        ),
-        F.struct(
-            F.lit("humidity").alias("_measure"), bin_of(F.col("h_avg"), "humidity").alias("_bin")
-        ),
-        F.struct(F.lit("any").alias("_measure"), F.lit(0).alias("_bin")),
-    )
-    looking = windows.select(
-        *windows.columns,
-        F.pmod(F.xxhash64("window_start"), F.lit(salts)).cast("int").alias("_salt"),
-        F.inline(places),
-    ).filter(F.col("_bin").isNotNull())
-    keys = ["_measure", "_bin", "_salt"]
-    # Sizes are estimated without the copies per bin and salt, so Spark would broadcast
-    # far more than it expects; a merge join holds the rules of one key and can spill.
-    return looking.join(filed.hint("merge"), keys, "inner").filter(_contains()).drop(*keys)
+    return F.array(*places)
+
+
+def _parts(measured: list[Row]) -> Column:
+    """Into how many parts the rules of a row's cell are dealt."""
+    parts = F.lit(1)
+    for row in measured:
+        for cell, number in (row["parts"] or {}).items():
+            here = (
+                (F.col("_measure") == row["_measure"])
+                & (F.col("_level") == row["_level"])
+                & (F.col("_cell") == cell)
+            )
+            parts = F.when(here, F.lit(number)).otherwise(parts)
+    return parts
 
 
 def shape_alerts(matches: DataFrame, now: Column | datetime | None = None) -> DataFrame:

@@ -9,19 +9,32 @@ from dewpoint.functions import no_bound_to_null
 from dewpoint.schemas import BOUND_COLUMNS, DEFAULT_RULES, NO_BOUND, RULE_SCHEMA
 
 
-def read_rules(spark: SparkSession, path: str) -> DataFrame:
+def read_rules(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
     """Rules from a CSV file with a header; columns are found by name.
 
-    Bounds become doubles whatever the file holds. Text that is no number in a
-    bound stops the read: as a null it would turn into an open bound and the rule
-    would fire on everything.
+    Bounds become doubles whatever the file holds. A line with the wrong number of fields,
+    text that is no number in a bound, or a rule without a code stops the read: as nulls
+    they would turn into open bounds and the rule would fire on everything. An empty bound
+    is an open one. ``multi_line`` allows line breaks inside quoted fields; such a file is
+    read by one task. Codes keep their text unless all of them are whole numbers.
     """
-    text = spark.read.option("header", True).csv(path)
+    text = (
+        spark.read.option("header", True)
+        .option("mode", "FAILFAST")
+        # Else a line is only checked for the columns a query uses.
+        .option("columnPruning", False)
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
     code = F.col("code")
+    whole = text.agg(F.bool_and(code.try_cast("int").isNotNull())).first()[0]
+    kept_code = code.try_cast("int").cast("string") if whole else code
     return text.select(
         F.col("id").try_cast("int").alias("id"),
         *[_number(c).alias(c) for c in BOUND_COLUMNS],
-        F.coalesce(code.try_cast("int").cast("string"), code).alias("code"),
+        F.when(code.isNull(), F.raise_error(F.lit("rule without a code")).cast("string"))
+        .otherwise(kept_code)
+        .alias("code"),
         F.col("message"),
     )
 
@@ -50,6 +63,12 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def default_rules(spark: SparkSession) -> DataFrame:
-    """The four shipped rules, ready for matching."""
-    table = spark.createDataFrame(list(DEFAULT_RULES), RULE_SCHEMA).coalesce(1)
-    return clean_rules(table)
+    """The four shipped rules, ready for matching, as literals in the plan."""
+    fields = RULE_SCHEMA.fields
+    rows = [
+        F.struct(
+            *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(rule, fields, strict=True)]
+        )
+        for rule in DEFAULT_RULES
+    ]
+    return clean_rules(spark.range(1).select(F.inline(F.array(*rows))))

@@ -39,6 +39,21 @@ def count_by_code(alerts: DataFrame) -> DataFrame:
     )
 
 
+def each_once(alerts: DataFrame, delay: str | None = None) -> DataFrame:
+    """Alerts without repeats: of equal window, code and message one stays.
+
+    A batch that is delivered again carries a new time, which is no part of the key. On a
+    stream the state holds one key per alert, for good. ``delay`` (for example "1 day")
+    bounds it: repeats are then recognised within that time after the alert, and alerts
+    that come later than that behind the newest are dropped.
+    """
+    keys = ["window", "code", "message"]
+    if delay is None or not alerts.isStreaming:
+        return alerts.dropDuplicates(keys)
+    timed = alerts.withColumn("_at", F.try_to_timestamp("timestamp"))
+    return timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(keys).drop("_at")
+
+
 def counts_row(alerts: DataFrame) -> DataFrame:
     """One row with a column per counted code, zero when unseen, and their total."""
     return alerts.agg(

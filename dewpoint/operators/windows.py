@@ -4,22 +4,11 @@ from __future__ import annotations
 
 from math import gcd
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 
-_UNIT_MICROS = {
-    "microsecond": 1,
-    "millisecond": 1_000,
-    "second": 1_000_000,
-    "minute": 60_000_000,
-    "hour": 3_600_000_000,
-    "day": 86_400_000_000,
-    "week": 604_800_000_000,
-}
-
-
 def sliding_averages(
     readings: DataFrame,
     size: str = WINDOW_SIZE,
@@ -56,7 +45,8 @@ def sliding_averages(
 
 
 def _averages_from_panes(readings: DataFrame, size: str, slide: str) -> DataFrame:
-    pane = f"{gcd(_micros(size), _micros(slide))} microseconds"
+    spark = readings.sparkSession
+    pane = f"{gcd(_micros(spark, size), _micros(spark, slide))} microseconds"
     panes = (
         readings.groupBy(F.window("event_time", pane).alias("pane"))
         .agg(
@@ -77,14 +67,8 @@ def _averages_from_panes(readings: DataFrame, size: str, slide: str) -> DataFram
     )
 
 
-def _micros(duration: str) -> int:
-    """``"1 minute 30 seconds"`` in microseconds."""
-    words = duration.lower().split()
-    if not words or len(words) % 2:
-        raise ValueError(f"not a duration: {duration!r}")
-    total = 0
-    for number, unit in zip(words[::2], words[1::2]):
-        if unit.removesuffix("s") not in _UNIT_MICROS:
-            raise ValueError(f"not a duration: {duration!r}")
-        total += int(number) * _UNIT_MICROS[unit.removesuffix("s")]
-    return total
+def _micros(spark: SparkSession, duration: str) -> int:
+    """A duration in microseconds, read by Spark itself: the length of its window."""
+    window = F.window(F.timestamp_seconds(F.lit(0)), duration)
+    length = F.unix_micros(F.col("window.end")) - F.unix_micros(F.col("window.start"))
+    return spark.range(1).select(window.alias("window")).select(length).first()[0]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,8 +93,13 @@ def read_stream(spark: SparkSession, source: KafkaEndpoint | FileEndpoint) -> Da
 
 
 def read_batch(spark: SparkSession, source: KafkaEndpoint | FileEndpoint) -> DataFrame:
-    """The messages a source holds now."""
-    return _open(spark.read, source)
+    """The messages a source holds now; a folder that no batch has made yet holds none."""
+    try:
+        return _open(spark.read, source)
+    except AnalysisException as problem:
+        if isinstance(source, FileEndpoint) and problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], source.schema)
+        raise
 
 
 def _open(

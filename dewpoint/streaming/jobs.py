@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from dewpoint.operators import (
     counts_row,
     decode_alerts,
+    each_once,
     encode_alerts,
     format_alerts,
     format_counts,
@@ -62,12 +63,17 @@ def start_fan_out(
             # Most batches close no window; counting also completes their state.
             if closed.count() == 0:
                 return
-            alerts = alerts_of(closed, load_rules(closed.sparkSession, rules_path), now)
             for sink in windows_to:
                 write_batch(closed, sink, batch_id)
-            for sink in alerts_to:
-                shown = alerts if isinstance(sink, ConsoleEndpoint) else encode_alerts(alerts)
-                write_batch(shown, sink, batch_id)
+            # Matched once: all sinks get the same alerts, also if the file is edited.
+            alerts = alerts_of(closed, load_rules(closed.sparkSession, rules_path), now)
+            alerts.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                for sink in alerts_to:
+                    shown = alerts if isinstance(sink, ConsoleEndpoint) else encode_alerts(alerts)
+                    write_batch(shown, sink, batch_id)
+            finally:
+                alerts.unpersist()
         finally:
             closed.unpersist()
 
@@ -99,7 +105,7 @@ def start_separate(
     """Three queries: alerts to a topic or files, alerts and windows to the console.
 
     Each reads the input and keeps the state on its own; ``start_fan_out`` does not.
-    The size of the rule table is checked when the queries start.
+    The rules are measured when the queries start.
     """
     windows = windows_of(
         read_stream(spark, source), size=size, slide=slide, watermark=watermark
@@ -120,33 +126,53 @@ def start_monitor(
     source: KafkaEndpoint | FileEndpoint,
     *,
     checkpoint: str,
-    console: ConsoleEndpoint = ConsoleEndpoint(),
+    reports_to: Endpoint = ConsoleEndpoint(),
+    statistics_to: Endpoint = ConsoleEndpoint(),
+    delay: str | None = None,
     trigger: str | None = None,
 ) -> list[StreamingQuery]:
     """Two queries over the alert sink: each alert's report, and the counts so far.
 
-    Counting is a second aggregation after the windows, which one query cannot do,
-    so it works on the written alerts. The counts survive a restart.
+    A topic or folder gets every report and, per micro-batch, the statistics, as messages
+    with their line breaks. A console is a preview: it shows the first ``rows`` of
+    a batch, on one line each. Counting is a second aggregation after the windows, which
+    one query cannot do, so it works on the written alerts; an alert that was delivered
+    again counts once (see ``each_once`` for ``delay``). The counts survive a restart.
     """
     alerts = decode_alerts(read_stream(spark, source))
     root = checkpoint.rstrip("/")
+    counts = format_counts(counts_row(each_once(alerts, delay)))
     return [
-        write_stream(
-            format_alerts(alerts).select("report"),
-            console,
-            checkpoint=f"{root}/reports",
-            trigger=trigger,
+        _start_texts(
+            format_alerts(alerts), "report", reports_to, f"{root}/reports", "append", trigger
         ),
-        write_stream(
-            format_counts(counts_row(alerts)).select("statistics"),
-            console,
-            checkpoint=f"{root}/statistics",
-            mode="complete",
-            trigger=trigger,
+        _start_texts(
+            counts, "statistics", statistics_to, f"{root}/statistics", "complete", trigger
         ),
     ]
 
 
+def _start_texts(
+    df: DataFrame, column: str, sink: Endpoint, checkpoint: str, mode: str, trigger: str | None
+) -> StreamingQuery:
+    """Texts to a console as they are, to a topic or folder as message values."""
+    if isinstance(sink, ConsoleEndpoint):
+        return write_stream(
+            df.select(column), sink, checkpoint=checkpoint, mode=mode, trigger=trigger
+        )
+    writer = (
+        df.select(df[column].alias("value"))
+        .writeStream.outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, sink, batch_id))
+    )
+    if trigger == AVAILABLE_NOW:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
 def run(
     spark: SparkSession, queries: Sequence[StreamingQuery], timeout: int | None = None
 ) -> bool | None:

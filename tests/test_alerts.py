@@ -8,7 +8,7 @@ from dewpoint.operators import default_rules, match_rules
 from dewpoint.schemas import RULE_SCHEMA
 
 WINDOWS = "window_start timestamp, window_end timestamp, t_avg double, h_avg double"
-WAYS = [{}, {"broadcast_rows": 0}, {"broadcast_bytes": 0, "bins": 3, "salts": 2}]
+WAYS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "levels": 2, "crowded": 3}]
 
 
 def windows(spark, averages):
@@ -92,7 +92,9 @@ def test_both_ways_equal_brute_force(spark):
              t, draw.choice([None, value(-20, 60)]))
         )
     bounds += [(None, None, None, math.inf), (math.nan, None, None, None)]
-    bounds += [(-math.inf, 3.0, None, None)]
+    bounds += [(-math.inf, 3.0, None, None), (None, None, -1e308, 1e308)]
+    bounds += [(0.0, 5e-324, None, None), (-1e308, 1e308, -1e308, 1e308)]
+    averages += [(1e308, 0.0), (-1e308, 5e-324), (5e-324, -0.0)]
 
     def at_least(v, low):  # NaN sorts above everything
         if low is None:
@@ -122,7 +124,7 @@ def test_both_ways_equal_brute_force(spark):
 
 def test_same_columns_both_ways(spark):
     w, r = windows(spark, [(45.0, 10.0)]), default_rules(spark)
-    assert match_rules(w, r).dtypes == match_rules(w, r, broadcast_rows=0).dtypes
+    assert match_rules(w, r).dtypes == match_rules(w, r, broadcast_bytes=0).dtypes
 
 
 def test_plans(spark):
@@ -131,8 +133,10 @@ def test_plans(spark):
     def plan(frame):
         return frame._jdf.queryExecution().sparkPlan().toString()
 
-    assert "BroadcastNestedLoopJoin BuildRight" in plan(match_rules(w, r))
-    binned = plan(match_rules(w, r, broadcast_rows=3))
+    small = plan(match_rules(w, r))
+    assert "BroadcastHashJoin" in small
+    assert not any(word in small for word in ("NestedLoop", "Cartesian", "ExistingRDD[id"))
+    binned = plan(match_rules(w, r, broadcast_bytes=0))
     assert "SortMergeJoin" in binned
     assert not any(word in binned for word in ("NestedLoop", "Cartesian", "Broadcast"))
 
@@ -143,3 +147,17 @@ def test_large_texts_are_not_broadcast(spark):
     plan = match_rules(w, long)._jdf.queryExecution().sparkPlan().toString()
     assert "NestedLoop" not in plan
     assert match_rules(w, long).count() == 2
+
+
+def test_a_rule_is_filed_in_few_cells(spark):
+    from dewpoint.operators import alerts as module
+
+    bounds = [(None, None, float(a), float(b)) for a in range(64) for b in range(a, 64)]
+    table = rules(spark, bounds)
+    filed = module._filed(table, module._edges(table, 8), 8).groupBy("code").count()
+    assert filed.agg(F.max("count")).first()[0] <= 2 * 8
+    assert filed.count() == len(bounds)
+
+
+def test_no_rules(spark):
+    assert match_rules(windows(spark, [(1.0, 2.0)]), rules(spark, [(1.0, 2.0, 3.0, 4.0)]).limit(0)).count() == 0

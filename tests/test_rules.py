@@ -53,3 +53,33 @@ def test_text_in_a_bound_is_an_error(spark, tmp_path):
     )
     with pytest.raises(Exception, match="humidity_min is not a number: low"):
         read_rules(spark, str(path)).collect()
+
+
+HEADER = "id,humidity_min,humidity_max,temperature_min,temperature_max,code,message\n"
+
+
+def _codes(spark, tmp_path, lines, **options):
+    path = tmp_path / "rules.csv"
+    path.write_text(HEADER + lines)
+    return [r.code for r in read_rules(spark, str(path), **options).orderBy("id").collect()]
+
+
+@pytest.mark.parametrize(
+    "lines",
+    ["1,0,40,-999,-999,101,dry\n2,60\n", '1,0,40,-999,-999,101,"too\ndry"\n', "1,0,40,-999,-999,,dry\n"],
+    ids=["a short line", "a line break in a message", "no code"],
+)
+def test_broken_lines_stop_the_read(spark, tmp_path, lines):
+    with pytest.raises(Exception):
+        _codes(spark, tmp_path, lines)
+
+
+def test_line_breaks_may_be_allowed(spark, tmp_path):
+    lines = '1,0,40,-999,-999,101,"too\ndry"\n'
+    assert _codes(spark, tmp_path, lines, multi_line=True) == ["101"]
+
+
+def test_codes_keep_their_text(spark, tmp_path):
+    mixed = "1,0,40,-999,-999,007,dry\n2,0,40,-999,-999,A1,dry\n"
+    assert _codes(spark, tmp_path, mixed) == ["007", "A1"]
+    assert _codes(spark, tmp_path, mixed.replace("A1", "12")) == ["7", "12"]

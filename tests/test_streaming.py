@@ -280,7 +280,7 @@ def test_monitor(spark, readings, rule_file, tmp_path):
 def test_large_rule_tables_on_a_stream(spark, topic, tmp_path):
     topic.send((0, 45), (600, 45))
     windows = sliding_averages(decode_readings(topic.messages(spark)))
-    alerts = shape_alerts(match_rules(windows, default_rules(spark), broadcast_rows=0))
+    alerts = shape_alerts(match_rules(windows, default_rules(spark), broadcast_bytes=0))
     found = FileEndpoint(str(tmp_path / "alerts"))
     write_stream(
         encode_alerts(alerts), found, checkpoint=str(tmp_path / "c"), trigger=AVAILABLE_NOW

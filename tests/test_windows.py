@@ -76,7 +76,7 @@ def test_empty(spark):
     st.tuples(st.integers(-90_000, 90_000), st.integers(-50, 50), st.integers(0, 100)),
     min_size=1, max_size=20))
 def test_same_as_brute_force(spark, size, slide, rows):
-    length, step = _micros(size) // 1000, _micros(slide) // 1000
+    length, step = _micros(spark, size) // 1000, _micros(spark, slide) // 1000
     members = defaultdict(list)
     for ms, t, h in rows:
         first = (ms // step) * step
@@ -94,12 +94,19 @@ def test_same_as_brute_force(spark, size, slide, rows):
     assert averages(spark, data, size, slide) == expected
 
 
-def test_durations():
-    assert _micros("30 seconds") == 30_000_000
-    assert _micros("1 minute 30 seconds") == 90_000_000
-    for wrong in ("", "seconds", "30", "3 fortnights"):
-        with pytest.raises(ValueError):
-            _micros(wrong)
+@pytest.mark.parametrize(
+    ("text", "micros"),
+    [("30 seconds", 30_000_000), ("1 minute 30 seconds", 90_000_000),
+     ("interval 30 seconds", 30_000_000), ("1.5 seconds", 1_500_000), ("1 week", 604_800_000_000)],
+)
+def test_durations_are_read_by_spark(spark, text, micros):
+    assert _micros(spark, text) == micros
+
+
+def test_no_duration(spark):
+    with pytest.raises(Exception):
+        _micros(spark, "soon")
+
 
 
 def test_each_reading_is_shuffled_once(spark):

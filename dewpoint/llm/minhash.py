@@ -148,7 +148,8 @@ def _buckets(
                     drawn = sampler.draw(elements, weights.of(elements, counts))
                     keys.append(key)
                     hashes.append(band_hashes(*drawn, bands))
-            yield pd.DataFrame({"key": keys, "buckets": hashes})
+            if keys:
+                yield pd.DataFrame({"key": keys, "buckets": hashes})
 
     rows = kept(
         content.select("key", "text")

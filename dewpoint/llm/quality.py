@@ -23,7 +23,7 @@ class Vocabulary:
     of signs with its length. ``remembered`` bounds the memory of a task, not the words.
     """
 
-    def __init__(self, buckets: int, remembered: int = 500_000):
+    def __init__(self, buckets: int, remembered: int = 200_000):
         self.buckets = buckets
         self.remembered = remembered
         self.known: dict[str, tuple[tuple[int, ...], int]] = {}

@@ -20,7 +20,7 @@ class Shingler:
     ``remembered`` bounds how many word hashes a task holds, not the words.
     """
 
-    def __init__(self, length: int = 5, remembered: int = 1_000_000):
+    def __init__(self, length: int = 5, remembered: int = 400_000):
         self.length = length
         self.remembered = remembered
         self.known: dict[str, int] = {}

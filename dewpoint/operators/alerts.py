@@ -56,8 +56,10 @@ def match_rules(
         "_part", F.pmod(F.xxhash64(*rules.columns), _parts(measured)).cast("int")
     )
     keys = ["_measure", "_level", "_cell", "_part"]
+    bins = F.struct(*[_bin(F.col(c), edges[m]).alias(f"_{m}") for m, c in MEASURES.items()])
     looking = (
-        windows.select(*windows.columns, F.inline(_places(measured, edges)))
+        windows.select(*windows.columns, F.inline(F.array(bins)))
+        .select(*windows.columns, F.inline(_places(measured)))
         .filter(F.col("_cell").isNotNull())
         .withColumn("_part", F.explode(F.sequence(F.lit(0), _parts(measured) - 1)))
     )
@@ -134,10 +136,12 @@ def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> Data
             .otherwise(ends["humidity"][side])
         )
 
+    # A generator keeps the bins from being computed again at every use.
+    named = F.struct(measure.alias("_measure"))
+    range_ = F.struct(of_measure(0).alias("_first"), of_measure(1).alias("_last"))
     placed = (
-        rules.withColumn("_measure", measure)
-        .withColumn("_first", of_measure(0))
-        .withColumn("_last", of_measure(1))
+        rules.select(*rules.columns, F.inline(F.array(named)))
+        .select(*rules.columns, "_measure", F.inline(F.array(range_)))
         .filter("_first <= _last")
     )
     cells = []
@@ -154,7 +158,7 @@ def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> Data
     )
 
 
-def _places(measured: list[Row], edges: dict[str, list[float]]) -> Column:
+def _places(measured: list[Row]) -> Column:
     """The cells a window looks in: one for each measure and level that holds rules."""
     places = []
     for row in sorted(measured, key=lambda r: (r["_measure"], r["_level"])):
@@ -162,8 +166,7 @@ def _places(measured: list[Row], edges: dict[str, list[float]]) -> Column:
         if row["_measure"] == "any":
             cell = F.lit(0)
         else:
-            place = _bin(F.col(MEASURES[row["_measure"]]), edges[row["_measure"]])
-            cell = F.floor(place / 2**level).cast("int")
+            cell = F.floor(F.col(f"_{row['_measure']}") / 2**level).cast("int")
         places.append(
             F.struct(
                 F.lit(row["_measure"]).alias("_measure"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dewpoint.functions import two_places
 from dewpoint.schemas import CODE_LABELS, KNOWN_CODES
-from dewpoint.session import stored
+from dewpoint.session import checkpointed
 
 # Fixed texts of the printed report.
 HEAVY_LINE = "=" * 80
@@ -24,10 +24,8 @@ STATISTICS_LABEL = "📈 Statistics:"
 UNKNOWN_MESSAGE = "Unknown"
 NOT_AVAILABLE = "N/A"
 
-# How finely running counts split the alerts of one window and code, and how many
-# equal alerts one row stands for at most.
-_SALTS = 32
-_COPIES_PER_ROW = 100_000
+# How many equal alerts one row of the running counts stands for at most.
+_COPIES_PER_ROW = 1_000
 
 
 def count_by_code(alerts: DataFrame) -> DataFrame:
@@ -62,7 +60,7 @@ def counts_row(alerts: DataFrame) -> DataFrame:
     )
 
 
-def running_counts(alerts: DataFrame) -> DataFrame:
+def running_counts(alerts: DataFrame, ranges: int | None = None) -> DataFrame:
     """Each alert with the counts per code and the total up to and including it.
 
     Alerts are taken in order of window start and counted code; alerts of equal
@@ -70,71 +68,67 @@ def running_counts(alerts: DataFrame) -> DataFrame:
     keep their row, come first in their window and change no counter.
 
     A running count over one global order would put all alerts into one task.
-    Instead, the counts before an alert are added up from three parts:
-
-    - the days before its day: one row per calendar day,
-    - the groups before its group on that day, where a group is one window, code
-      and salt: at most slides per day x codes x salts rows,
-    - the alerts before it in its group. Equal alerts travel as rows with a number
-      of copies, and the salt splits a window with many alerts or many copies.
-
-    As the alerts are needed both whole and summed, they are written to the work
-    folder first, so that what they are computed from is read once.
+    Instead, the alerts are dealt to ranges of that order, of about equal numbers of rows
+    (``ranges`` of them, else as many as Spark makes shuffle partitions). The counts before
+    an alert are those of the ranges before its own, one row of totals each, plus those
+    before it in its range. Equal alerts travel as rows with a number of copies.
     """
-    names = list(KNOWN_CODES.values())
-    start = F.coalesce(F.col("window.start"), F.lit(""))
-    distinct = alerts.groupBy(*alerts.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    first = F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES_PER_ROW))
-    per_alert = (
-        stored(distinct, "alerts")
-        .withColumn("_first", F.explode(first))
-        .select(
-            *alerts.columns,
-            "_first",
-            F.least(F.col("_copies") - F.col("_first") + 1, F.lit(_COPIES_PER_ROW)).alias("_n"),
-            F.substring(start, 1, 10).alias("_day"),
-            start.alias("_start"),
-            F.when(F.col("code").isin(*KNOWN_CODES), F.col("code"))
-            .otherwise(F.lit(""))
-            .alias("_code"),
-            F.pmod(F.xxhash64(*alerts.columns, "_first"), F.lit(_SALTS)).alias("_salt"),
-        )
-    )
-
-    group = ["_start", "_code", "_salt"]
-    per_group = per_alert.groupBy("_day", *group).agg(
-        *[
-            F.sum(F.when(F.col("_code") == c, F.col("_n")).otherwise(F.lit(0))).alias(name)
-            for c, name in KNOWN_CODES.items()
-        ]
-    )
-    per_day = per_group.groupBy("_day").agg(*[F.sum(n).alias(n) for n in names])
-    before_day = Window.orderBy("_day")
-    before_group = Window.partitionBy("_day").orderBy(*group)
-    before_alert = Window.partitionBy(*group).orderBy(*alerts.columns, "_first")
-
-    days = per_day.select("_day", *[_sum_before(n, before_day).alias(f"_{n}") for n in names])
-    earlier = (
-        per_group.select("_day", *group, *[_sum_before(n, before_group).alias(n) for n in names])
-        .join(days, "_day")
-        .select(*group, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in names])
+    codes = KNOWN_CODES.items()
+    order = ["_start", "_code", *alerts.columns, "_first"]
+    dealt = checkpointed(_in_ranges(alerts, order, ranges))
+
+    def copies_of(code: str) -> Column:
+        return F.when(F.col("_code") == code, F.col("_n")).otherwise(F.lit(0))
+
+    totals = dealt.groupBy("_range").agg(*[F.sum(copies_of(c)).alias(n) for c, n in codes])
+    before_range = Window.orderBy("_range")
+    earlier = totals.select(
+        F.col("_range").alias("_range_of"),
+        *[_sum_before(F.col(n), before_range).alias(f"_{n}") for _, n in codes],
     )
+    before_alert = Window.partitionBy("_range").orderBy(*order)
     numbered = (
-        per_alert.withColumn("_before", _sum_before("_n", before_alert))
-        .join(earlier, group)
+        dealt.withColumns({n: _sum_before(copies_of(c), before_alert) for c, n in codes})
+        .join(earlier, F.col("_range") == F.col("_range_of"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
     )
-    own = F.col("_before") + F.col("_copy")
     return numbered.select(
         *alerts.columns,
         *[
-            (F.col(name) + F.when(F.col("_code") == c, own).otherwise(F.lit(0))).alias(name)
-            for c, name in KNOWN_CODES.items()
+            (
+                F.col(n)
+                + F.col(f"_{n}")
+                + F.when(F.col("_code") == c, F.col("_copy")).otherwise(F.lit(0))
+            ).alias(n)
+            for c, n in codes
         ],
-    ).withColumn("total", reduce(Column.__add__, map(F.col, names)))
+    ).withColumn("total", reduce(Column.__add__, map(F.col, KNOWN_CODES.values())))
+
+
+def _in_ranges(alerts: DataFrame, order: list[str], ranges: int | None) -> DataFrame:
+    """Distinct alerts with their copies ``_n``, dealt to ranges of ``order``.
+
+    ``_range`` rises with the order. An alert with many copies is cut into several rows, so
+    that it can lie in several ranges.
+    """
+    distinct = alerts.groupBy(*alerts.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    first = F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES_PER_ROW))
+    code = F.when(F.col("code").isin(*KNOWN_CODES), F.col("code")).otherwise(F.lit(""))
+    rows = distinct.withColumn("_first", F.explode(first)).select(
+        *alerts.columns,
+        "_first",
+        F.least(F.col("_copies") - F.col("_first") + 1, F.lit(_COPIES_PER_ROW)).alias("_n"),
+        F.coalesce(F.col("window.start"), F.lit("")).alias("_start"),
+        code.alias("_code"),
+    )
+    dealt = (
+        rows.repartitionByRange(*order) if ranges is None
+        else rows.repartitionByRange(ranges, *order)
+    )
+    return dealt.withColumn("_range", F.spark_partition_id())
 
 
-def _sum_before(column: str, order: WindowSpec) -> Column:
+def _sum_before(column: Column, order: WindowSpec) -> Column:
     frame = order.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(frame), F.lit(0))
 

@@ -13,6 +13,8 @@ STATE_STORE = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
+# Checkpoints of frames that nothing refers to any more are deleted.
+CLEANER = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def build(
@@ -33,7 +35,7 @@ def build(
     keeps Spark's default (on).
     """
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", time_zone)
-    for key, value in STATE_STORE.items():
+    for key, value in (STATE_STORE | CLEANER).items():
         builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
@@ -53,14 +55,31 @@ def work_folder(spark: SparkSession, name: str) -> str:
     falls back to a temporary folder; a cluster session without it is refused,
     since executors could not see a folder of the driver's machine.
     """
+    return f"{_shared_root(spark).rstrip('/')}/dewpoint/{name}-{uuid.uuid4().hex}"
+
+
+def _shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        # "local-cluster" has executors of its own and is no local session.
+        if not context.master.startswith("local") or context.master.startswith("local-"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="dewpoint-")
         context.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/dewpoint/{name}-{uuid.uuid4().hex}"
+    return root
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame as a reliable checkpoint in the shared folder.
+
+    Computed once, readable after an executor is lost, and in sessions of ``build``
+    deleted when the frame is no longer in use.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(_shared_root(df.sparkSession))
+    return df.checkpoint()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

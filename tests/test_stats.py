@@ -77,6 +77,26 @@ def test_running_counts_with_copies_and_crowds(spark, monkeypatch, copies_per_ro
     assert [r.too_hot for r in rows if r.message == "next day"] == [68]
 
 
+def test_running_counts_of_one_day_take_several_ranges(spark):
+    """A window every second of one day; alerts of one window hold half of the rows."""
+    items = [
+        (f"2024-11-24 {s // 3600:02}:{s // 60 % 60:02}:{s % 60:02}", ("101", "104")[s % 2])
+        for s in range(0, 86_400, 60)
+    ]
+    items += [(START, "103", f"m{i}") for i in range(1_000)]
+    frame = alerts(spark, items)
+    order = ["window", "code", "message"]
+    dealt = stats._in_ranges(frame, order, 8)
+    sizes = [r["count"] for r in dealt.groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < len(items) / 3
+    rows = running_counts(frame, ranges=8).collect()
+    rows.sort(key=lambda r: (r.window.start, r.code, r.total))
+    assert [r.total for r in rows] == list(range(1, len(items) + 1))
+    for code, name in KNOWN_CODES.items():
+        own = [r[name] for r in rows if r.code == code]
+        assert own == list(range(1, len(own) + 1))
+
+
 def test_running_counts_read_their_input_once(spark, tmp_path):
     alerts(spark, MIXED).write.parquet(str(tmp_path / "alerts"))
     found = running_counts(spark.read.parquet(str(tmp_path / "alerts")))

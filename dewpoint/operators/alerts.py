@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from math import isnan
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -34,11 +35,12 @@ def match_rules(
     the exact test follows. The rules of a cell that holds more than ``crowded`` of them
     are dealt to several parts, and the windows of that cell look in each.
 
-    The rules are measured first (two aggregates over them, whose results are bounded by
-    the number of cells). If the filed rules take at most ``broadcast_bytes`` they are
-    broadcast, else merge-joined: the same join with the same rows.
+    The rules are measured first: one aggregate for the edges and the longest rule, one for
+    the cells, whose results are bounded by the number of cells. If the filed rules take at
+    most ``broadcast_bytes`` they are broadcast, else merge-joined: the same join with the
+    same rows.
     """
-    edges = _edges(rules, levels)
+    edges, longest = _edges(rules, levels)
     filed = _filed(rules, edges, levels)
     cells = filed.groupBy("_measure", "_level", "_cell").agg(F.count(F.lit(1)).alias("n"))
     measured = cells.withColumn(
@@ -63,7 +65,7 @@ def match_rules(
         .filter(F.col("_cell").isNotNull())
         .withColumn("_part", F.explode(F.sequence(F.lit(0), _parts(measured) - 1)))
     )
-    size = _bytes(rules) * sum(row["n"] for row in measured)
+    size = longest * sum(row["n"] for row in measured)
     hinted = F.broadcast(dealt) if size <= broadcast_bytes else dealt.hint("merge")
     return looking.join(hinted, keys, "inner").filter(_contains()).drop(*keys)
 
@@ -74,35 +76,49 @@ def _contains() -> Column:
     ) & in_range(F.col("h_avg"), F.col("humidity_min"), F.col("humidity_max"))
 
 
-def _bytes(rules: DataFrame) -> int:
-    """Size of the longest rule, rounded up."""
+def _edges(rules: DataFrame, levels: int) -> tuple[dict[str, list[float]], int]:
+    """Per measure the at most 2**levels - 1 inner edges of its bins, rising; and the bytes
+    of the longest rule, rounded up."""
+    shares = _numbers([i / 2**levels for i in range(1, 2**levels)])
     texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in rules.columns]
-    longest = rules.agg(F.max(sum(texts, F.lit(0)))).first()[0]
-    return (longest or 0) + 64
-
-
-def _edges(rules: DataFrame, levels: int) -> dict[str, list[float]]:
-    """Per measure the at most 2**levels - 1 inner edges of its bins, rising."""
-    shares = [i / 2**levels for i in range(1, 2**levels)]
-    found = []
-    for measure in MEASURES:
-        bounds = rules.select(
-            F.explode(F.array(f"{measure}_min", f"{measure}_max")).alias("bound")
-        ).filter("bound IS NOT NULL")
-        found.append(
-            bounds.agg(
-                F.array_sort(
-                    F.array_distinct(F.percentile_approx("bound", shares, 100_000))
-                ).alias(measure)
-            )
+    sides = [
+        F.struct(*[F.col(f"{m}_{side}").cast("double").alias(m) for m in MEASURES])
+        for side in ("min", "max")
+    ]
+    found = (
+        rules.select(sum(texts, F.lit(0)).alias("bytes"), F.inline(F.array(*sides)))
+        .agg(
+            F.max("bytes").alias("longest"),
+            *[F.percentile_approx(m, shares, 100_000).alias(m) for m in MEASURES],
         )
-    return {m: list(frame.first()[0] or []) for m, frame in zip(MEASURES, found, strict=True)}
+        .first()
+    )
+    edges = {m: sorted(set(found[m] or []), key=lambda e: (isnan(e), e)) for m in MEASURES}
+    return edges, (found["longest"] or 0) + 64
+
+
+def _numbers(values: list[float]) -> Column:
+    """An array of constants: one text, which the optimizer folds, is a smaller plan than a
+    literal per number."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 def _bin(value: Column, edges: list[float]) -> Column:
-    """How many edges are not above the value; null for null."""
-    known = F.array(*[F.lit(e) for e in edges]).cast("array<double>")
-    return F.when(value.isNotNull(), F.size(F.filter(known, lambda e: e <= value)))
+    """How many edges are not above the value; null for null.
+
+    The first edges of blocks of 16 tell the block, so a value meets 32 edges at most.
+    """
+    block = 16
+
+    def not_above(array: Column) -> Column:
+        return F.size(F.filter(array, lambda e: e <= value))
+
+    if not edges:
+        return F.when(value.isNotNull(), F.lit(0))
+    blocks = not_above(_numbers(edges[::block]))
+    before = F.greatest(blocks - 1, F.lit(0)) * block
+    rest = F.slice(_numbers(edges), before + 1, F.lit(block))
+    return F.when(value.isNotNull(), before + not_above(rest))
 
 
 def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> DataFrame:
@@ -111,37 +127,34 @@ def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> Data
     A rule without bounds is filed once under "any"; crossed bounds never match.
     """
     last = 2**levels - 1
-    ends = {
-        m: (
-            F.coalesce(_bin(F.col(f"{m}_min"), edges[m]), F.lit(0)),
-            F.coalesce(_bin(F.col(f"{m}_max"), edges[m]), F.lit(last)),
-        )
-        for m in MEASURES
-    }
+    # Generators keep the bins from being computed again at every use.
+    ends = F.struct(
+        *[
+            F.coalesce(_bin(F.col(f"{m}_{side}"), edges[m]), F.lit(open_end)).alias(f"_{m}_{side}")
+            for m in MEASURES
+            for side, open_end in (("min", 0), ("max", last))
+        ]
+    )
     bounded = {m: F.col(f"{m}_min").isNotNull() | F.col(f"{m}_max").isNotNull() for m in MEASURES}
     spread = {
-        m: F.when(bounded[m], ends[m][1] - ends[m][0]).otherwise(F.lit(last + 1)) for m in MEASURES
+        m: F.when(bounded[m], F.col(f"_{m}_max") - F.col(f"_{m}_min")).otherwise(F.lit(last + 1))
+        for m in MEASURES
     }
-    by_temperature = spread["temperature"] <= spread["humidity"]
-    measure = (
-        F.when(~bounded["temperature"] & ~bounded["humidity"], "any")
-        .when(by_temperature, "temperature")
-        .otherwise("humidity")
-    )
 
-    def of_measure(side: int) -> Column:
-        return (
-            F.when(F.col("_measure") == "any", F.lit(0))
-            .when(F.col("_measure") == "temperature", ends["temperature"][side])
-            .otherwise(ends["humidity"][side])
-        )
+    def under(measure: str, first: Column, to: Column) -> Column:
+        return F.struct(F.lit(measure).alias("_measure"), first.alias("_first"), to.alias("_last"))
 
-    # A generator keeps the bins from being computed again at every use.
-    named = F.struct(measure.alias("_measure"))
-    range_ = F.struct(of_measure(0).alias("_first"), of_measure(1).alias("_last"))
+    by_measure = {m: under(m, F.col(f"_{m}_min"), F.col(f"_{m}_max")) for m in MEASURES}
+    place = (
+        F.when(
+            ~bounded["temperature"] & ~bounded["humidity"], under("any", F.lit(0), F.lit(0))
+        )
+        .when(spread["temperature"] <= spread["humidity"], by_measure["temperature"])
+        .otherwise(by_measure["humidity"])
+    )
     placed = (
-        rules.select(*rules.columns, F.inline(F.array(named)))
-        .select(*rules.columns, "_measure", F.inline(F.array(range_)))
+        rules.select(*rules.columns, F.inline(F.array(ends)))
+        .select(*rules.columns, F.inline(F.array(place)))
         .filter("_first <= _last")
     )
     cells = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import gcd
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 
+
 def sliding_averages(
     readings: DataFrame,
     size: str = WINDOW_SIZE,
@@ -45,8 +47,7 @@ def sliding_averages(
 
 
 def _averages_from_panes(readings: DataFrame, size: str, slide: str) -> DataFrame:
-    spark = readings.sparkSession
-    pane = f"{gcd(_micros(spark, size), _micros(spark, slide))} microseconds"
+    pane = f"{gcd(*_micros(readings.sparkSession, size, slide))} microseconds"
     panes = (
         readings.groupBy(F.window("event_time", pane).alias("pane"))
         .agg(
@@ -67,8 +68,13 @@ def _averages_from_panes(readings: DataFrame, size: str, slide: str) -> DataFram
     )
 
 
-def _micros(spark: SparkSession, duration: str) -> int:
-    """A duration in microseconds, read by Spark itself: the length of its window."""
-    window = F.window(F.timestamp_seconds(F.lit(0)), duration)
-    length = F.unix_micros(F.col("window.end")) - F.unix_micros(F.col("window.start"))
-    return spark.range(1).select(window.alias("window")).select(length).first()[0]
+def _micros(spark: SparkSession, *durations: str) -> list[int]:
+    """Durations in microseconds, read by Spark itself: the lengths of their windows."""
+    lengths = []
+    for duration in durations:
+        window = F.window(F.timestamp_seconds(F.lit(0)), duration)
+        row = spark.range(1).select(window.alias("window"))
+        lengths.append(
+            row.select(F.unix_micros(F.col("window.end")) - F.unix_micros(F.col("window.start")))
+        )
+    return [row[0] for row in reduce(DataFrame.unionAll, lengths).collect()]

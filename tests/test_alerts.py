@@ -154,7 +154,7 @@ def test_a_rule_is_filed_in_few_cells(spark):
 
     bounds = [(None, None, float(a), float(b)) for a in range(64) for b in range(a, 64)]
     table = rules(spark, bounds)
-    filed = module._filed(table, module._edges(table, 8), 8).groupBy("code").count()
+    filed = module._filed(table, module._edges(table, 8)[0], 8).groupBy("code").count()
     assert filed.agg(F.max("count")).first()[0] <= 2 * 8
     assert filed.count() == len(bounds)
 

@@ -191,6 +191,35 @@ def sliding_averages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_rows(read_batch(spark, closed))
 
 
+def late_readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of a stream that gets the clicks last.
+
+    Three batches: the other events of the first half of their time, those of the second
+    half, then all clicks. Clicks no longer count in windows that the second batch closed.
+    """
+    folder = work_folder(spark, "late")
+    topic = FileEndpoint(f"{folder}/readings")
+    closed = FileEndpoint(f"{folder}/closed", schema=WINDOW_SCHEMA)
+    clicks = F.col("event_type").eqNullSafe("click")
+    others = _parts_in_time(_table(spark, sf_dir, "events").filter(~clicks))
+    for part in (*others, _table(spark, sf_dir, "events").filter(clicks)):
+        write_batch(event_messages(part).select("key", "value"), topic)
+        windows = windows_of(read_stream(spark, topic))
+        write_stream(
+            windows, closed, checkpoint=f"{folder}/checkpoint", trigger=AVAILABLE_NOW
+        ).awaitTermination()
+    return _window_rows(read_batch(spark, closed))
+
+
+def _parts_in_time(events: DataFrame) -> list[DataFrame]:
+    """Events up to the middle of their time, and later ones."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = events.agg(((F.min(micros) + F.max(micros)) / 2).alias("_middle"))
+    dealt = events.join(F.broadcast(middle), how="left")  # one row
+    later = F.coalesce(micros > F.col("_middle"), F.lit(False))
+    return [dealt.filter(part).drop("_middle") for part in (~later, later)]
+
+
 # -- rules ------------------------------------------------------------------
 
 
@@ -292,6 +321,50 @@ def alerts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_rows(decode_alerts(read_batch(spark, found)))
 
 
+def alerts_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of a job that is stopped after half of the time and started again."""
+    folder = work_folder(spark, "restart")
+    topic, found = FileEndpoint(f"{folder}/readings"), FileEndpoint(f"{folder}/alerts")
+    rules = _rule_file(spark, spark.createDataFrame(list(DEFAULT_RULES), RULE_SCHEMA))
+    for part in _parts_in_time(_table(spark, sf_dir, "events")):
+        write_batch(event_messages(part).select("key", "value"), topic)
+        start_fan_out(
+            spark,
+            topic,
+            rules,
+            checkpoint=f"{folder}/checkpoint",
+            alerts_to=[found],
+            trigger=AVAILABLE_NOW,
+        ).awaitTermination()
+    return _alert_rows(decode_alerts(read_batch(spark, found)))
+
+
+def alerts_stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows and alerts of one job, each from its own sink: the alerts of every window."""
+    folder = work_folder(spark, "two-sinks")
+    topic, found = FileEndpoint(f"{folder}/readings"), FileEndpoint(f"{folder}/alerts")
+    closed = FileEndpoint(f"{folder}/windows", schema=WINDOW_SCHEMA)
+    write_batch(_messages(spark, sf_dir).select("key", "value"), topic)
+    rules = _rule_file(spark, spark.createDataFrame(list(DEFAULT_RULES), RULE_SCHEMA))
+    start_fan_out(
+        spark,
+        topic,
+        rules,
+        checkpoint=f"{folder}/checkpoint",
+        alerts_to=[found],
+        windows_to=[closed],
+        trigger=AVAILABLE_NOW,
+    ).awaitTermination()
+    fired = _alert_rows(decode_alerts(read_batch(spark, found)))
+    codes = fired.groupBy("window_start").agg(F.array_sort(F.collect_list("code")).alias("codes"))
+    windows = _window_rows(read_batch(spark, closed)).withColumn(
+        "window_start", F.col("window_start").cast("string")
+    )
+    return windows.join(codes, "window_start", "left").select(
+        "window_start", "t_avg", "h_avg", F.concat_ws(",", "codes").alias("codes")
+    )
+
+
 # -- counts and reports -----------------------------------------------------
 
 
@@ -389,6 +462,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sliding_averages,
         sliding_averages_minute,
         sliding_averages_stream,
+        late_readings_stream,
         rules_clean,
         alerts,
         alerts_from_messages,
@@ -396,6 +470,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         alerts_many_rules,
         alerts_rules_outlier,
         alerts_stream,
+        alerts_stream_restart,
+        alerts_stream_two_sinks,
         alert_counts,
         alert_counts_row,
         alert_counts_stream,
@@ -438,6 +514,24 @@ windows AS (
 
 CLOSED_SQL = "<= (SELECT max(ts) FROM events) - INTERVAL 5 SECOND"
 
+# Clicks come last and miss the windows that the events before them have closed.
+LATE_SQL = f"""
+WITH spread AS (
+  SELECT make_timestamp((epoch_us(ts) // 10000000) * 10000000 - back * 1000000) AS window_start,
+         event_type IS NOT DISTINCT FROM 'click' AS late, value AS temperature,
+         CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS DOUBLE) AS humidity
+  FROM (SELECT *, unnest([0, 10, 20]) AS back FROM events)),
+closing AS (
+  SELECT max(ts) FILTER (WHERE event_type IS DISTINCT FROM 'click') - INTERVAL 5 SECOND
+    AS late_from
+  FROM events)
+SELECT window_start, window_start + INTERVAL 30 SECOND AS window_end,
+       round(avg(temperature), 6) AS t_avg, round(avg(humidity), 6) AS h_avg
+FROM spread, closing
+WHERE NOT late OR late_from IS NULL OR window_start + INTERVAL 30 SECOND > late_from
+GROUP BY window_start
+HAVING window_start + INTERVAL 30 SECOND {CLOSED_SQL}"""
+
 RULES_SQL = """
 rules AS (
   SELECT * FROM (VALUES
@@ -533,6 +627,7 @@ UNION ALL SELECT 'html', count(*), 0, 0, 0 FROM pages""",
         "sliding_averages_minute": f"WITH {_windows_sql(60, 30)} {WINDOW_ROWS_SQL}",
         "sliding_averages_stream": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
         f"WHERE window_end {CLOSED_SQL}",
+        "late_readings_stream": LATE_SQL,
         "rules_clean": PART_RULES_SQL,
         "alerts": found,
         "alerts_from_messages": found,
@@ -544,6 +639,16 @@ SELECT code, count(*) AS alerts, min(window_start) AS first_window,
 {MATCH_SQL}
 GROUP BY code""",
         "alerts_stream": f"{found} WHERE CAST(window_end AS TIMESTAMP) {CLOSED_SQL}",
+        "alerts_stream_restart": f"{found} WHERE CAST(window_end AS TIMESTAMP) {CLOSED_SQL}",
+        "alerts_stream_two_sinks": f"""
+WITH {ALERTS_SQL},
+codes AS (SELECT window_start, string_agg(code, ',' ORDER BY code) AS codes
+          FROM alerts GROUP BY window_start)
+SELECT strftime(w.window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       round(w.t_avg, 6) AS t_avg, round(w.h_avg, 6) AS h_avg, coalesce(c.codes, '') AS codes
+FROM windows w LEFT JOIN codes c
+  ON c.window_start = strftime(w.window_start, '%Y-%m-%d %H:%M:%S')
+WHERE w.window_end {CLOSED_SQL}""",
         "alert_counts": counts,
         "alert_counts_row": f"WITH {ALERTS_SQL} SELECT {COUNTS_SQL} FROM alerts",
         "alert_counts_stream": counts,

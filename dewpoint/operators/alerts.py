@@ -12,7 +12,7 @@ from dewpoint.functions import in_range
 from dewpoint.schemas import BOUND_COLUMNS
 
 # What the filed rules may take when they are broadcast; beyond it they are merge-joined.
-BROADCAST_BYTES = 4 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 MEASURES = {"temperature": "t_avg", "humidity": "h_avg"}
 
 
@@ -30,9 +30,9 @@ def match_rules(
     quantiles of the rules' bounds; a value's bin is the number of edges that are not above
     it, so bins keep the order of all doubles, infinities and NaN included. Bins nest into
     cells of twice the length per level, and a rule is filed in the at most
-    ``2 * levels`` cells that make up its range, under the measure that needs fewer bins. A
-    window looks in its cell of every level that is used, so it meets a rule once;
-    the exact test follows. The rules of a cell that holds more than ``crowded`` of them
+    ``2 * levels`` cells that make up its range, under the measure of whose bins it takes the
+    smaller share. A window looks in its cell of every level that is used, so it meets a
+    rule once; the exact test follows. The rules of a cell that holds more than ``crowded`` of them
     are dealt to several parts, and the windows of that cell look in each.
 
     The rules are measured first: one aggregate for the edges and the longest rule, one for
@@ -137,7 +137,11 @@ def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> Data
     )
     bounded = {m: F.col(f"{m}_min").isNotNull() | F.col(f"{m}_max").isNotNull() for m in MEASURES}
     spread = {
-        m: F.when(bounded[m], F.col(f"_{m}_max") - F.col(f"_{m}_min")).otherwise(F.lit(last + 1))
+        m: F.when(
+            bounded[m],
+            (F.least(F.col(f"_{m}_max"), F.lit(len(edges[m]))) - F.col(f"_{m}_min") + 1)
+            / F.lit(len(edges[m]) + 1.0),
+        ).otherwise(F.lit(2.0))
         for m in MEASURES
     }
 
@@ -159,8 +163,8 @@ def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> Data
     )
     cells = []
     for level in range(levels + 1):
-        low = F.ceil(F.col("_first") / 2**level).cast("int")
-        high = F.floor((F.col("_last") + 1) / 2**level).cast("int")
+        low = F.shiftright(F.col("_first") + (2**level - 1), level)
+        high = F.shiftright(F.col("_last") + 1, level)
         for cell, odd in ((low, low % 2 == 1), (high - 1, high % 2 == 1)):
             here = F.struct(F.lit(level).alias("_level"), cell.alias("_cell"))
             cells.append(F.when((low < high) & odd, here))
@@ -179,7 +183,7 @@ def _places(measured: list[Row]) -> Column:
         if row["_measure"] == "any":
             cell = F.lit(0)
         else:
-            cell = F.floor(F.col(f"_{row['_measure']}") / 2**level).cast("int")
+            cell = F.shiftright(F.col(f"_{row['_measure']}"), level)
         places.append(
             F.struct(
                 F.lit(row["_measure"]).alias("_measure"),

@@ -1,12 +1,14 @@
 """``python -m dewpoint watch|monitor``: the two jobs against Kafka or folders.
 
-A name with a slash is a folder of message files, any other name a topic. Brokers
-and credentials come from the ``KAFKA_*`` environment variables.
+A name with a slash is a folder of message files, any other name a topic; an option
+that does not apply to the one given is an error. Brokers and credentials come from the
+``KAFKA_*`` environment variables.
 """
 
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
 
 from dewpoint import session
 from dewpoint.operators import load_rules
@@ -17,6 +19,7 @@ from dewpoint.sources import (
     FileEndpoint,
     KafkaEndpoint,
     KafkaSettings,
+    first_start,
 )
 from dewpoint.streaming import run, start_fan_out, start_monitor
 
@@ -34,8 +37,8 @@ def parser() -> argparse.ArgumentParser:
     watch.add_argument("--slide", default=WINDOW_SLIDE)
     watch.add_argument("--watermark", default=WATERMARK)
     watch.add_argument("--trigger", default=None, help="interval or availableNow")
-    watch.add_argument("--max-offsets", type=int, default=None, help="per micro-batch")
-    watch.add_argument("--min-partitions", type=int, default=None, help="reading tasks")
+    watch.add_argument("--max-offsets", type=int, default=None, help="per micro-batch; topics")
+    watch.add_argument("--min-partitions", type=int, default=None, help="reading tasks; topics")
     watch.add_argument("--quiet", action="store_true", help="nothing on the console")
 
     monitor = jobs.add_parser("monitor", help="alerts to the console")
@@ -43,21 +46,51 @@ def parser() -> argparse.ArgumentParser:
     monitor.add_argument("--checkpoint", required=True)
     monitor.add_argument("--reports", default=None, help="topic or folder for all reports")
     monitor.add_argument("--statistics", default=None, help="topic or folder for the counts")
-    monitor.add_argument("--group", default=None, help="start of the consumer group's name")
+    monitor.add_argument("--group", default=None, help="start of the consumer group's name; topics")
     monitor.add_argument("--trigger", default=None, help="interval or availableNow")
+    for job, start in ((watch, "earliest"), (monitor, "latest")):
+        job.add_argument("--max-files", type=int, default=None, help="per micro-batch; folders")
+        job.add_argument(
+            "--start",
+            choices=("earliest", "latest"),
+            default=start,
+            help="where a first start begins; later ones go on from the checkpoint",
+        )
     return commands
 
 
-def endpoint(name: str, **topic_options) -> KafkaEndpoint | FileEndpoint:
+def endpoint(
+    name: str, *, max_files: int | None = None, start: str = "earliest", **topic_options
+) -> KafkaEndpoint | FileEndpoint:
+    """The topic or folder of a name. ``start`` on a folder is left to ``main``."""
     if "/" in name:
-        return FileEndpoint(name)
-    return KafkaEndpoint(KafkaSettings.from_env(), name, **topic_options)
+        wrong = [option for option, value in topic_options.items() if value is not None]
+        if wrong:
+            raise ValueError(f"{', '.join(wrong)}: for topics only, {name} is a folder")
+        return FileEndpoint(name, max_files=max_files)
+    if max_files is not None:
+        raise ValueError(f"max_files: for folders only, {name} is a topic")
+    return KafkaEndpoint(
+        KafkaSettings.from_env(), name, starting_offsets=start, **topic_options
+    )
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
+    common = {"max_files": args.max_files, "start": args.start}
+    if args.job == "watch":
+        source = endpoint(
+            args.readings,
+            max_offsets=args.max_offsets,
+            min_partitions=args.min_partitions,
+            **common,
+        )
+    else:
+        source = endpoint(args.alerts, group_prefix=args.group, **common)
     spark = session.build(f"dewpoint-{args.job}")
     try:
+        if isinstance(source, FileEndpoint) and args.start == "latest":
+            source = replace(source, since=first_start(spark, args.checkpoint))
         if args.job == "watch":
             console = [] if args.quiet else [ConsoleEndpoint()]
             if console:
@@ -65,11 +98,7 @@ def main(argv: list[str] | None = None) -> None:
             queries = [
                 start_fan_out(
                     spark,
-                    endpoint(
-                        args.readings,
-                        max_offsets=args.max_offsets,
-                        min_partitions=args.min_partitions,
-                    ),
+                    source,
                     args.rules,
                     checkpoint=args.checkpoint,
                     alerts_to=[endpoint(args.alerts), *console],
@@ -81,9 +110,6 @@ def main(argv: list[str] | None = None) -> None:
                 )
             ]
         else:
-            source = endpoint(
-                args.alerts, starting_offsets="latest", group_prefix=args.group
-            )
             queries = start_monitor(
                 spark,
                 source,

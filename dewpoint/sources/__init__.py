@@ -5,6 +5,7 @@ from dewpoint.sources.endpoints import (
     ConsoleEndpoint,
     FileEndpoint,
     KafkaEndpoint,
+    first_start,
     read_batch,
     read_stream,
     write_batch,
@@ -18,6 +19,7 @@ __all__ = [
     "FileEndpoint",
     "KafkaEndpoint",
     "KafkaSettings",
+    "first_start",
     "kafka_options",
     "read_batch",
     "read_stream",

@@ -7,6 +7,7 @@ A topic and a folder of files are interchangeable: both hold messages with
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -56,13 +57,18 @@ class KafkaEndpoint:
 
 @dataclass(frozen=True)
 class FileEndpoint:
-    """A folder of files; ``schema`` is that of messages unless given."""
+    """A folder of files; ``schema`` is that of messages unless given.
+
+    ``max_files`` bounds one micro-batch. ``since`` leaves out messages written earlier or
+    without a time: with a job's ``first_start`` that job begins at the latest message.
+    """
 
     path: str
     format: str = "parquet"
     schema: T.StructType | str = ENVELOPE_SCHEMA
     glob: str | None = None
     max_files: int | None = None
+    since: datetime | None = None
 
     def source_options(self) -> dict[str, str]:
         # Folders per micro-batch are no partition columns: a stream that started
@@ -107,12 +113,31 @@ def _open(
 ) -> DataFrame:
     if isinstance(source, KafkaEndpoint):
         return reader.format("kafka").options(**source.source_options()).load()
-    return (
+    found = (
         reader.format(source.format)
         .schema(source.schema)
         .options(**source.source_options())
         .load(source.path)
     )
+    return found if source.since is None else found.filter(F.col("timestamp") >= source.since)
+
+
+def first_start(spark: SparkSession, checkpoint: str) -> datetime:
+    """When the job with this checkpoint folder first asked, kept as a file in the folder.
+
+    A restarted job gets the time of its first start, so that it reads what was written
+    while it was stopped.
+    """
+    path = f"{checkpoint.rstrip('/')}/first-start"
+    try:
+        known = spark.read.schema("micros long").parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        now = F.unix_micros(F.current_timestamp()).alias("micros")
+        spark.range(1).select(now).write.parquet(path)
+        known = spark.read.schema("micros long").parquet(path)
+    return datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=known.first()[0])
 
 
 def write_stream(

@@ -1,13 +1,18 @@
+from dataclasses import replace
+
 import pytest
 
 from dewpoint import __main__ as command_line
 from dewpoint import session
 from dewpoint.sources import (
+    AVAILABLE_NOW,
     ConsoleEndpoint,
     FileEndpoint,
     KafkaEndpoint,
     KafkaSettings,
+    first_start,
     read_batch,
+    read_stream,
     write_batch,
     write_stream,
 )
@@ -176,3 +181,57 @@ def test_command_line_starts_the_jobs(monkeypatch):
 def test_command_line_takes_folders_for_topics():
     assert command_line.endpoint("/data/readings") == FileEndpoint("/data/readings")
     assert command_line.endpoint("s3a://bucket/x").path == "s3a://bucket/x"
+
+
+def test_options_that_do_not_apply_are_errors(monkeypatch):
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "one:9092")
+    assert command_line.endpoint("/data/in", max_files=3).max_files == 3
+    assert command_line.endpoint("in", start="latest").starting_offsets == "latest"
+    for command in (
+        "watch --readings /in --alerts out --rules r.csv --checkpoint c --max-offsets 7",
+        "watch --readings /in --alerts out --rules r.csv --checkpoint c --min-partitions 7",
+        "watch --readings in --alerts out --rules r.csv --checkpoint c --max-files 7",
+        "monitor --alerts /out --checkpoint c --group g",
+        "monitor --alerts out --checkpoint c --max-files 7",
+    ):
+        with pytest.raises(ValueError, match="only"):
+            command_line.main(command.split())
+
+
+def test_start_at_the_latest_message_of_a_folder(spark, tmp_path):
+    folder, checkpoint = FileEndpoint(str(tmp_path / "in")), str(tmp_path / "job")
+
+    def send(text):
+        write_batch(spark.createDataFrame([(text,)], "value string"), folder)
+
+    def start():
+        since = first_start(spark, checkpoint)
+        write_stream(
+            read_stream(spark, replace(folder, since=since, max_files=1)),
+            FileEndpoint(str(tmp_path / "out")),
+            checkpoint=f"{checkpoint}/stream",
+            trigger=AVAILABLE_NOW,
+        ).awaitTermination()
+        seen = read_batch(spark, FileEndpoint(str(tmp_path / "out")))
+        return since, sorted(bytes(r.value).decode() for r in seen.collect())
+
+    send("before the first start")
+    first, seen = start()
+    assert seen == []
+    send("while stopped")
+    assert start() == (first, ["while stopped"])
+    send("later")
+    assert start() == (first, ["later", "while stopped"])
+
+
+def test_files_per_batch(spark, tmp_path):
+    folder = FileEndpoint(str(tmp_path / "in"), max_files=2)
+    for i in range(5):
+        write_batch(spark.createDataFrame([(str(i),)], "value string").coalesce(1), folder)
+    batches = []
+    read_stream(spark, folder).writeStream.foreachBatch(
+        lambda batch, _: batches.append(batch.count())
+    ).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert batches == [2, 2, 1]

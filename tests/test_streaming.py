@@ -365,7 +365,7 @@ def test_command_line_on_folders(spark, readings, rule_file, tmp_path):
     assert "humidity_min" in shown and "window_start" in shown and "It's too hot" in shown
     assert fired(spark, FileEndpoint(found)) == EXPECTED
 
-    shown = dewpoint(f"monitor --alerts {found} --checkpoint {tmp_path}/c2")
+    shown = dewpoint(f"monitor --alerts {found} --checkpoint {tmp_path}/c2 --start earliest")
     assert "🚨 ALERT: It's too cold" in shown and "Total:    12" in shown
 
 

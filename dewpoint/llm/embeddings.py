@@ -42,8 +42,9 @@ def near_embeddings(
     Vectors go to shards by hash, about ``shard_rows`` each and ``least_shards`` at least.
     A shard groups its vectors into balls narrow enough that all of a ball link, and builds
     a graph over their pivots (see ``Shard``). Every shard's pivots then query every
-    shard's graph, each pair of shards once, with a beam widened until audits against all
-    pivots pass. Two balls so near that all their vectors must link are counted as a
+    shard's graph, each pair of shards once, with a beam widened until an audit against all
+    pivots passes. An audit draws queries until ``audit`` of them have a partner other than
+    themselves; where links are too sparse for that, it has compared all. Two balls so near that all their vectors must link are counted as a
     whole; others are verified vector by vector. Components are those of the balls.
     """
     reach = float(np.arccos(threshold))
@@ -180,12 +181,7 @@ def _linked(
             shard.vectors = np.pad(shard.vectors, ((0, 0), (0, missing)))
             shard.graph.vectors = shard.pivots().astype(np.float32)
     pivots = a.pivots()
-    far = reach + a.reach + b.reach.max(initial=0)
-    least = np.where(far < np.pi, np.cos(np.minimum(far, np.pi)), -1.0)
-    query, ball = b.within(pivots, least, beam, audit, recall)
-    if same:
-        once = query < ball
-        query, ball = query[once], ball[once]
+    query, ball = b.within(pivots, reach, a.reach, same, beam, audit, recall)
     cosine = np.einsum("ij,ij->i", pivots[query], b.pivots()[ball])
     angle = np.arccos(np.clip(cosine, -1, 1))
     spread = a.reach[query] + b.reach[ball]

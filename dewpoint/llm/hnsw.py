@@ -268,19 +268,74 @@ class Shard:
         return self
 
     def within(
-        self, queries: np.ndarray, least: np.ndarray, beam: int, audit: int, recall: float
+        self,
+        queries: np.ndarray,
+        reach: float,
+        spread: np.ndarray,
+        same: bool,
+        beam: int,
+        audit: int,
+        recall: float,
     ) -> tuple[np.ndarray, np.ndarray]:
-        """(query, ball) pairs whose pivots are at least ``least`` similar to the query.
+        """(query, ball) pairs that may link: angles up to ``reach`` and both spreads.
 
-        A beam whose rows are all similar enough is doubled, since more may lie behind it.
-        Then up to ``audit`` queries spread over all are compared with every pivot: if less
-        than ``recall`` of what they should find was found, all beams are doubled again.
+        ``same`` says that the queries are this shard's own pivots; pairs then come once,
+        the smaller first, and no query is its own partner. A beam whose rows are all
+        similar enough is doubled, since more may lie behind it. Before that queries in a
+        fixed shuffled order are compared with every pivot, in blocks, until ``audit`` of
+        them have a partner. If less than ``recall`` of these pairs, or of the pairs of a
+        query on average, was found, all beams are doubled again. Where all queries had to
+        be compared, or a beam would hold the whole graph, the pairs are those compared.
         """
-        while True:
-            found = self._range(queries, least, beam)
-            if beam >= self.graph.n or self._audited(queries, least, found, audit) >= recall:
-                return found
-            beam *= 2
+        n = self.graph.n
+        far = reach + spread + self.reach.max(initial=0)
+        least = np.where(far < np.pi, np.cos(np.minimum(far, np.pi)), -1.0)
+        order = np.random.default_rng(0).permutation(len(queries))
+        checked, partnered, pairs = 0, 0, []
+        while checked < len(order) and partnered < audit:
+            block = order[checked : checked + BATCH]
+            pairs.append(self._exact(queries, block, reach, spread, least, same))
+            partnered += len(np.unique(pairs[-1][0]))
+            checked += len(block)
+        if checked < len(order):
+            asked, partner = (np.concatenate(part) for part in zip(*pairs, strict=True))
+            true = self._coded(asked, partner, same)
+            _, owner = np.unique(asked, return_inverse=True)
+            while beam < n:
+                found = self._coded(*self._range(queries, least, beam), same)
+                got = np.isin(true, found)
+                per_query = np.bincount(owner, got) / np.bincount(owner)
+                if min(got.mean(), per_query.mean()) >= recall:
+                    codes = np.union1d(found, true)
+                    return codes // n, codes % n
+                beam *= 2
+            for begin in range(checked, len(order), BATCH):
+                block = order[begin : begin + BATCH]
+                pairs.append(self._exact(queries, block, reach, spread, least, same))
+        if not pairs:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        codes = np.unique(
+            self._coded(*(np.concatenate(part) for part in zip(*pairs, strict=True)), same)
+        )
+        return codes // n, codes % n
+
+    def _coded(self, query: np.ndarray, ball: np.ndarray, same: bool) -> np.ndarray:
+        """A number per pair; within a shard both directions have one, own rows are left out."""
+        if same:
+            other = query != ball
+            query, ball = query[other], ball[other]
+            query, ball = np.minimum(query, ball), np.maximum(query, ball)
+        return query.astype(np.int64) * self.graph.n + ball
+
+    def _exact(self, queries, block, reach, spread, least, same):
+        """The pairs of some queries by comparison with every pivot."""
+        sims = queries[block].astype(np.float32) @ self.graph.vectors.T
+        row, ball = np.nonzero(sims >= least[block][:, None] - 1e-5)
+        far = np.minimum(reach + spread[block[row]] + self.reach[ball], np.pi)
+        near = sims[row, ball] >= np.cos(far) - 1e-5
+        if same:
+            near &= block[row] != ball
+        return block[row[near]], ball[near]
 
     def _range(self, queries, least, beam) -> tuple[np.ndarray, np.ndarray]:
         out_query, out_ball = [], []
@@ -302,13 +357,3 @@ class Shard:
             open_ = np.concatenate(again)
             beam *= 2
         return np.concatenate(out_query), np.concatenate(out_ball)
-
-    def _audited(self, queries, least, found, audit: int) -> float:
-        chosen = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
-        sims = queries[chosen].astype(np.float32) @ self.graph.vectors.T
-        row, ball = np.nonzero(sims >= least[chosen][:, None])
-        if not len(row):
-            return 1.0
-        n = self.graph.n
-        got = np.isin(chosen[row] * n + ball, found[0] * n + found[1])
-        return float(got.mean())

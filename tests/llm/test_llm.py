@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dewpoint.llm import queries as llm
-from dewpoint.llm.embeddings import near_embeddings
+from dewpoint.llm.embeddings import LINK, _linked, near_embeddings
+from dewpoint.llm.hnsw import Shard
 from dewpoint.llm.licences import ancestors, scan_licences
 from dewpoint.llm.minhash import deduplicate, near_duplicates
 from dewpoint.llm.mixing import apply_mix, mix_sources
@@ -116,6 +117,34 @@ def test_near_embeddings_equal_brute_force(spark):
     assert near_embeddings(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_sparse_pairs_of_a_shard_are_all_found(same):
+    n, draw = 3_000, np.random.default_rng(5)
+    reach = float(np.arccos(0.9))
+
+    def shard(vectors, first):
+        keys = np.array([list((first + i).to_bytes(16, "big")) for i in range(len(vectors))], dtype=np.uint8)
+        vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        levels = np.minimum(draw.geometric(15 / 16, len(vectors)) - 1, 4)
+        return Shard.build(keys, vectors, np.ones(len(vectors), np.int64), levels, reach / 2 - 1e-6)
+
+    x = draw.normal(size=(n, 64))
+    partners = x[:30] + 0.36 * draw.normal(size=(30, 64))
+    if same:
+        a = b = shard(np.vstack([x[30:], x[:30], partners]), 0)
+    else:
+        a, b = shard(x, 0), shard(np.vstack([draw.normal(size=(n, 64)), partners]), 10**6)
+    b.graph.layers[-1][:, 8:] = -1  # a graph that the beam finds little in
+    true = np.argwhere(a.pivots() @ b.pivots().T >= 0.9)
+    true = {(i, j) for i, j in true.tolist() if not same or i < j}
+    found = _linked(a, b, same, reach, 0.9, 2, 64, 0.98)
+    found = found[found["kind"] == LINK]
+    number = {k.tobytes(): i for i, k in enumerate(b.keys[b.start[:-1]])}
+    own = {k.tobytes(): i for i, k in enumerate(a.keys[a.start[:-1]])}
+    assert len(true) > 20
+    assert {(own[r.a], number[r.b]) for r in found.itertuples()} == true
+
+
 def test_top_k_edges(spark):
     rows = [(0, [1.0, 2.0]), (50, [3.0, -1.0]), (1, None), (2, [None, 1.0]), (3, [1.0]), (None, [9.0, 9.0]), (3, [1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").filter(usable(F.col("embedding")))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import string
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dewpoint.llm.common import kept
+from dewpoint.llm.common import BROADCAST_ROWS, kept
 
 
 @dataclass(frozen=True)
@@ -58,41 +59,74 @@ def listed_rule(host: Column, path: Column, rules: list[UrlRule]) -> Column:
 def mine_rules(
     labelled: DataFrame,
     *,
-    vocabulary: int = 16,
     support: float = 0.002,
     confidence: float = 0.7,
 ) -> DataFrame:
     """Association rules ``antecedent, verdict, confidence, support`` from ``tokens, verdict``.
 
-    The ``vocabulary`` tokens that shift the share of verdicts most (weighted by the root
-    of their frequency, ties by the token) make up the items, so that there are at most
-    2**vocabulary combinations whatever URLs hold. FP-growth finds those frequent together
-    with a verdict; rules below ``support`` (share of labelled URLs) or ``confidence`` are
-    pruned, and so is a rule that a smaller one of the same verdict predicts as well.
+    FP-growth finds the tokens frequent together with a verdict; rules below ``support``
+    (share of labelled URLs) or ``confidence`` are pruned, and so is a rule that a smaller
+    one of the same verdict predicts as well. Support alone bounds the tokens; those of all
+    labelled URLs say nothing and are left out. ``antecedent`` is an array of items, the
+    rarest first, an item an array of tokens that occur in the same labelled URLs: any one
+    of them meets the item.
+
+    Neither merging such tokens nor mining tokens of a single verdict apart loses a rule:
+    a token of one verdict alone is a rule of confidence 1 that covers all larger ones.
     """
-    per_token = (
-        labelled.select(F.explode("tokens").alias("token"), "verdict")
+    labelled = kept(
+        labelled.select(F.array_sort("tokens").alias("tokens"), "verdict")
+        .groupBy("tokens", "verdict")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    total = labelled.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    blocked = F.sum(F.when(F.col("verdict") == "block", F.col("n")).otherwise(0))
+    least = ceil(support * total)
+    items = kept(
+        labelled.select(
+            F.explode("tokens").alias("token"),
+            "verdict",
+            "n",
+            F.xxhash64("tokens", "verdict").alias("hash"),
+            F.xxhash64(F.lit("second"), "tokens", "verdict").alias("second"),
+        )
         .groupBy("token")
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("verdict") == "block").alias("blocked"),
+            F.sum("n").alias("n"),
+            blocked.alias("blocked"),
+            F.bit_xor("hash").alias("hash"),
+            F.bit_xor("second").alias("second"),
         )
+        .filter((F.greatest("blocked", F.col("n") - F.col("blocked")) >= least) & (F.col("n") < total))
+        .groupBy("n", "blocked", "hash", "second")
+        .agg(F.array_sort(F.collect_list("token")).alias("members"))
+        # Items sort by their number of URLs.
+        .withColumn("item", F.concat_ws(" ", F.lpad(F.col("n").cast("string"), 15, "0"), "members"))
+    )
+    single = (F.col("blocked") == 0) | (F.col("blocked") == F.col("n"))
+    pure = items.filter(single).select(
+        F.array("item").alias("antecedent"),
+        F.when(F.col("blocked") > 0, "block").otherwise("allow").alias("verdict"),
+        F.lit(1.0).alias("confidence"),
+        (F.col("n") / F.lit(float(max(total, 1)))).alias("support"),
     )
-    share = labelled.agg(
-        F.coalesce(F.avg((F.col("verdict") == "block").cast("double")), F.lit(0.0))
-    ).first()[0]
-    shift = F.abs(F.col("blocked") / F.col("n") - F.lit(share)) * F.sqrt("n")
-    chosen = [
-        row.token
-        for row in per_token.orderBy(F.round(shift, 9).desc(), "token").limit(vocabulary).collect()
-    ]
-    known = F.array(*[F.lit(t) for t in chosen]).cast("array<string>")
-    items = F.concat(
-        F.array_intersect("tokens", known), F.array(F.concat(F.lit("verdict:"), F.col("verdict")))
+    # Items are at most (tokens of a URL) / support; each is met by its first token.
+    mixed = items.filter(~single).select(F.element_at("members", 1).alias("token"), "item")
+    baskets = (
+        labelled.select("tokens", "verdict", "n", F.explode("tokens").alias("token"))
+        .join(F.broadcast(mixed), "token")
+        .groupBy("tokens", "verdict", "n")
+        .agg(F.collect_set("item").alias("items"))
     )
+    baskets = baskets.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))).select(
+        F.concat("items", F.array(F.concat(F.lit("verdict:"), F.col("verdict")))).alias("items")
+    )
+    baskets = kept(baskets)
+    # URLs without an item count for the support all the same.
+    n = baskets.count()
     model = FPGrowth(
-        itemsCol="items", minSupport=support, minConfidence=confidence
-    ).fit(labelled.select(items.alias("items")))
+        itemsCol="items", minSupport=min(1.0, max(least - 0.5, 0.5) / max(n, 1)), minConfidence=confidence
+    ).fit(baskets)
     verdict = F.col("consequent")[0]
     found = kept(
         model.associationRules.filter(F.startswith(verdict, F.lit("verdict:")))
@@ -101,73 +135,80 @@ def mine_rules(
             F.array_sort("antecedent").alias("antecedent"),
             F.substring(verdict, len("verdict:") + 1, 10).alias("verdict"),
             "confidence",
-            "support",
+            (F.col("support") * F.lit(n / max(total, 1))).alias("support"),
         )
     )
     smaller = found.select(
-        F.col("antecedent").alias("part"),
-        F.col("verdict").alias("same"),
-        F.col("confidence").alias("reached"),
+        F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("reached")
     )
-    # Both sides are at most 2**vocabulary rules; a rule meets its parts by one token.
-    parts = smaller.withColumn("token", F.element_at("part", 1))
+    # FP-growth has listed every part of a rule already; a rule meets its parts by equality.
+    places = F.sequence(F.lit(0), F.size("antecedent") - 1)
     covered = (
-        found.withColumn("token", F.explode("antecedent"))
-        .join(parts, "token")
-        .filter(
-            (F.col("same") == F.col("verdict"))
-            & (F.size("part") < F.size("antecedent"))
-            & (F.size(F.array_except("part", "antecedent")) == 0)
-            & (F.col("reached") >= F.col("confidence"))
+        found.filter(F.size("antecedent") > 1)
+        .withColumn(
+            "mask",
+            F.explode(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("antecedent")).cast("int") - 2)),
+        )
+        .withColumn(
+            "part",
+            F.transform(
+                F.filter(places, lambda i: F.getbit(F.col("mask"), i) == 1),
+                lambda i: F.get("antecedent", i),
+            ),
         )
+        .join(smaller, ["part", "verdict"])
+        .filter(F.col("reached") >= F.col("confidence"))
         .select("antecedent", "verdict")
         .distinct()
     )
-    return found.join(covered, ["antecedent", "verdict"], "left_anti")
+    rules = found.join(covered, ["antecedent", "verdict"], "left_anti").unionByName(pure)
+    members = F.transform("antecedent", lambda item: F.slice(F.split(item, " "), 2, 1_000_000))
+    return rules.withColumn("antecedent", members)
 
 
 def match_mined(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """``pages`` (with ``tokens``) and a column ``mined``: the verdict of the surest rule, or null.
 
-    A page's signature is the tokens it shares with any rule. Each distinct signature meets
-    the rules through an inverted index: signature tokens join the index of rule tokens,
-    and a rule fires if all its tokens were met. The surest rule wins, then the one of
-    more tokens, then block over allow.
+    Each distinct set of tokens meets the rules through an inverted index: its tokens join
+    the tokens of the rules' rarest items, and a rule fires if all its items were met. The
+    surest rule wins, then the one of more items, then block over allow.
     """
-    index = kept(rules).withColumn(
-        "rule", F.concat_ws("|", F.col("verdict"), F.array_join("antecedent", " "))
-    )
-    terms = index.select(
-        F.explode("antecedent").alias("token"),
-        "rule",
-        "verdict",
-        "confidence",
-        F.size("antecedent").alias("needed"),
-    )
-    known = [row.token for row in terms.select("token").distinct().orderBy("token").collect()]
-    vocabulary = F.array(*[F.lit(t) for t in known]).cast("array<string>")
-    signed = pages.withColumn(
-        "_signature",
-        F.array_join(F.array_sort(F.array_intersect(F.col("tokens"), vocabulary)), " "),
+    index = kept(
+        rules.select(
+            F.explode(F.get("antecedent", F.lit(0))).alias("token"),
+            "antecedent",
+            "verdict",
+            "confidence",
+        )
     )
-    # At most 2**vocabulary signatures and rules, hence the broadcasts.
-    signatures = signed.select("_signature").distinct()
+    if index.count() <= BROADCAST_ROWS:
+        index = F.broadcast(index)
+    signed = pages.withColumn("_signature", F.array_join(F.array_sort("tokens"), " "))
     fired = (
-        signatures.withColumn("token", F.explode(F.split("_signature", " ")))
-        .join(F.broadcast(terms), "token")
-        .groupBy("_signature", "rule", "verdict", "confidence", "needed")
-        .agg(F.count(F.lit(1)).alias("met"))
-        .filter(F.col("met") == F.col("needed"))
+        signed.select("_signature")
+        .distinct()
+        .withColumn("_met", F.split("_signature", " "))
+        .withColumn("token", F.explode("_met"))
+        .join(index, "token")
+        .filter(F.forall("antecedent", lambda item: F.arrays_overlap(item, F.col("_met"))))
     )
     surest = fired.groupBy("_signature").agg(
-        F.max(F.struct("confidence", "needed", (F.col("verdict") == "block").alias("block"))).alias(
-            "best"
-        )
+        F.max(
+            F.struct(
+                "confidence",
+                F.size("antecedent").alias("needed"),
+                (F.col("verdict") == "block").alias("block"),
+            )
+        ).alias("best")
     )
-    mined = surest.select(
-        "_signature", F.when(F.col("best.block"), "block").otherwise("allow").alias("mined")
+    mined = kept(
+        surest.select(
+            "_signature", F.when(F.col("best.block"), "block").otherwise("allow").alias("mined")
+        )
     )
-    return signed.join(F.broadcast(mined), "_signature", "left").drop("_signature")
+    if mined.count() <= BROADCAST_ROWS:
+        mined = F.broadcast(mined)
+    return signed.join(mined, "_signature", "left").drop("_signature")
 
 
 def judge_urls(
@@ -176,7 +217,6 @@ def judge_urls(
     *,
     id_column: str = "page_id",
     url: str = "url",
-    vocabulary: int = 16,
     support: float = 0.002,
     confidence: float = 0.7,
 ) -> DataFrame:
@@ -200,9 +240,7 @@ def judge_urls(
     for name, verdict in verdicts.items():
         listed = F.when(F.col("rule") == name, F.lit(verdict)).otherwise(listed)
     labelled = parsed.select("tokens", listed.alias("verdict")).filter("verdict IS NOT NULL")
-    mined = mine_rules(
-        labelled, vocabulary=vocabulary, support=support, confidence=confidence
-    )
+    mined = mine_rules(labelled, support=support, confidence=confidence)
     return match_mined(parsed, mined).select(
         "page_id",
         "host",

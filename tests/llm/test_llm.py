@@ -18,7 +18,7 @@ from dewpoint.llm.quality import score_quality
 from dewpoint.llm.secrets import BASE, KINDS, redact, scan_secrets, span_text
 from dewpoint.llm.sharding import jump_hash, shard_documents
 from dewpoint.llm.topk import quantised, top_k, usable
-from dewpoint.llm.urls import judge_urls
+from dewpoint.llm.urls import UrlRule, judge_urls
 from oracle import differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -260,6 +260,53 @@ def test_urls(spark):
     assert (found[4].host, found[4].path, found[4].verdict) == ("", "", "allow")
 
 
+def test_mined_verdicts_equal_brute_force(spark):
+    from itertools import combinations
+
+    draw = random.Random(4)
+    words = ["casino", "win", "blog", "shop", "news", "free"]
+    hosts = [f"h{i}" for i in range(60)]
+    urls = []
+    for _ in range(400):
+        more = "/".join(draw.sample(words, draw.randint(0, 3)))
+        bad = draw.random() < (0.9 if "casino" in more or "free" in more and "win" in more else 0.2)
+        tld = "bad" if bad else "good"
+        if draw.random() < 0.3:
+            tld = "other"
+        pair = draw.choice(["", "page/ref/"])  # two tokens that always come together
+        urls.append(f"https://{draw.choice(hosts)}.{tld}/{pair}{more}")
+    urls += urls[:5]
+    rules = [UrlRule("bad", "/", "block"), UrlRule("good", "/", "allow")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r.mined for r in judge_urls(pages, rules, support=0.01).collect()}
+
+    sets = [frozenset(re.findall("[a-z][a-z0-9]*", u)) for u in urls]
+    verdicts = ["block" if ".bad/" in u else "allow" if ".good/" in u else None for u in urls]
+    known = [(s, v) for s, v in zip(sets, verdicts) if v]
+    total = len(known)
+    everywhere = frozenset.intersection(*[s for s, _ in known])
+    # Tokens of the same URLs are one item, named by the first.
+    where = {t: tuple(i for i, (s, _) in enumerate(known) if t in s) for s, _ in known for t in s}
+    first = {t: min(u for u in where if where[u] == where[t]) for t in where}
+    reduced = [(frozenset(first[t] for t in s - everywhere), v) for s, v in known]
+    n, joint = {}, {}
+    for items, v in reduced:
+        for k in range(1, len(items) + 1):
+            for part in combinations(sorted(items), k):
+                n[part] = n.get(part, 0) + 1
+                joint[part, v] = joint.get((part, v), 0) + 1
+    rated = {x: c / n[x[0]] for x, c in joint.items() if c >= 0.01 * total and c / n[x[0]] >= 0.7}
+    least = {
+        (p, v): c for (p, v), c in rated.items()
+        if not any(rated.get((q, v), 0) >= c for k in range(1, len(p)) for q in combinations(p, k))
+    }
+    for i, tokens in enumerate(sets):
+        met = {first[t] for t in tokens if t in first}
+        fired = [(c, len(p), v == "block") for (p, v), c in least.items() if met.issuperset(p)]
+        expected = None if not fired else "block" if max(fired)[2] else "allow"
+        assert found[i] == expected, urls[i]
+
+
 def test_quality_on_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.01"
     scored = llm.op7_quality(spark, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,21 +17,30 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 )
+# The base patterns with their least lengths: a run of hex digits alone would take letters
+# out of ordinary words.
+FOUND = (ASSIGN, r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "markov")
-# What the models judge: long runs of the characters that keys are made of, with a digit
-# and a letter.
-CANDIDATE = r"(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}"
+# What the models judge: runs of the characters that keys are made of.
+CANDIDATE = r"[A-Za-z0-9+/_=-]{8,}"
 # Characters are told apart by their ASCII codes.
 CODES = 128
 
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
-def pattern_spans(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
+def pattern_spans(
+    text: Column,
+    pattern: str,
+    kind: int,
+    group: int,
+    least: float,
+    measure: Callable[[Column], Column] = F.length,
+) -> Column:
     """Spans ``start, kind, end`` of leftmost matches, in code points, end exclusive.
 
     A match starts where the pieces between matches and the matches before it end.
-    Matches whose ``group`` is shorter than ``least`` are dropped afterwards.
+    Matches whose ``group`` measures less than ``least`` are dropped afterwards.
     """
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     counted = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
@@ -37,7 +48,7 @@ def pattern_spans(text: Column, pattern: str, kind: int, group: int, least: int)
     steps = F.arrays_zip(
         F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"),
         F.transform(whole, F.length).alias("taken"),
-        F.transform(counted, F.length).alias("counted"),
+        F.transform(counted, measure).alias("counted"),
     )
     nothing = F.array().cast(f"array<{SPAN}>")
     walked = F.aggregate(
@@ -71,22 +82,16 @@ def codes_of(token: Column) -> Column:
     return F.transform(F.split(token, ""), F.ascii)
 
 
-def train_models(docs: DataFrame, *, text: str = "text", sample: int = 4_000) -> list[float]:
+def train_models(docs: DataFrame, *, text: str = "text") -> list[float]:
     """Log-likelihood ratios of character pairs: random strings against ordinary words.
 
-    The labelled samples come from at most about ``sample`` documents, chosen by the hash of
-    their text: strings that the base patterns find are random ones, other letter-digit
-    runs of four and more characters ordinary ones. Both models give the probability of a
-    character after the one before it, each pair counted once more than seen. Returns
-    CODES * CODES numbers, that of (a, b) at a * CODES + b; the model is of this size
-    whatever the corpus is.
+    The labelled samples are the distinct tokens of all documents: strings that the base
+    patterns find are random ones, other letter-digit runs of four and more characters
+    ordinary ones. Both models give the probability of a character after the one before
+    it, each pair counted once more than seen, where a token to be judged counts as unseen. Returns CODES * CODES numbers, that of
+    (a, b) at a * CODES + b; the model is of this size whatever the corpus is.
     """
-    total = docs.count()
-    share = min(1.0, sample / total) if total else 1.0
-    content = F.coalesce(F.col(text), F.lit(""))
-    chosen = docs.select(content.alias("text")).filter(
-        F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)
-    )
+    chosen = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     secret = F.concat(
         *[
             F.filter(
@@ -97,7 +102,7 @@ def train_models(docs: DataFrame, *, text: str = "text", sample: int = 4_000) ->
         ]
     )
     rest = F.col("text")
-    for _, pattern, _, _ in BASE:
+    for pattern in FOUND:
         rest = F.regexp_replace(rest, pattern, " ")
     plain = F.regexp_extract_all(rest, F.lit(r"[A-Za-z0-9_-]{4,}"), F.lit(0))
     tokens = chosen.select(
@@ -108,13 +113,12 @@ def train_models(docs: DataFrame, *, text: str = "text", sample: int = 4_000) ->
             )
         ).alias("t")
     ).select("t.*")
-    words = tokens.groupBy("token", "random").agg(F.count(F.lit(1)).alias("n"))
+    words = tokens.distinct()
     codes = codes_of(F.col("token"))
     pairs = (
         words.withColumn("codes", codes)
         .select(
             "random",
-            "n",
             F.explode(
                 F.transform(
                     F.sequence(F.lit(0), F.size("codes") - 2),
@@ -124,12 +128,13 @@ def train_models(docs: DataFrame, *, text: str = "text", sample: int = 4_000) ->
         )
         .filter(F.col("pair").between(0, CODES * CODES - 1))
         .groupBy("random", "pair")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     counts = {0: [1.0] * (CODES * CODES), 1: [1.0] * (CODES * CODES)}
     for row in pairs.collect():
         counts[row.random][row.pair] += row.n
-    return _ratios(counts[1], counts[0])
+    # What is judged is one of the ordinary tokens: its own pairs do not count for it.
+    return _ratios(counts[1], [max(n - 1.0, 1.0) for n in counts[0]])
 
 
 def _ratios(random: list[float], ordinary: list[float]) -> list[float]:
@@ -165,19 +170,18 @@ def scan_secrets(
     text: str = "text",
     ratios: list[float] | None = None,
     threshold: float = 12.0,
-    sample: int = 4_000,
 ) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: sorted arrays of ``start, kind, end``.
 
     ``kind`` is the place in ``KINDS``. ``base`` holds the matches of the base patterns,
     ``spans`` also the candidate strings whose log-likelihood ratio (``train_models``)
-    reaches ``threshold`` and that overlap no base match. Positions are code points of the
+    reaches ``threshold`` and that are not within a base match; they may overlap one. Positions are code points of the
     whole text. A null or empty text has no spans; rows are judged alone, so repeated rows
     get the same spans; an empty table gives none. Columns of ``docs`` are kept; columns
     called ``base`` or ``spans`` are replaced.
     """
     if ratios is None:
-        ratios = train_models(docs, text=text, sample=sample)
+        ratios = train_models(docs, text=text)
     model = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
     content = F.coalesce(F.col(text), F.lit(""))
     nothing = F.array().cast(f"array<{SPAN}>")
@@ -192,13 +196,14 @@ def scan_secrets(
             )
         ),
     )
-    candidates = pattern_spans(content, CANDIDATE, len(BASE), 0, 16)
+    candidates = pattern_spans(
+        content, CANDIDATE, len(BASE), 0, threshold, lambda token: ratio_of(token, model)
+    )
     judged = F.filter(
         candidates,
         lambda s: ~F.exists(
-            F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
-        )
-        & (ratio_of(content.substr(s["start"] + 1, s["end"] - s["start"]), model) >= threshold),
+            F.col("base"), lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])
+        ),
     )
     return based.withColumn(
         "spans",

@@ -15,7 +15,7 @@ from dewpoint.llm.minhash import deduplicate, near_duplicates
 from dewpoint.llm.mixing import apply_mix, mix_sources
 from dewpoint.llm.packing import optimal_boundaries, pack_documents
 from dewpoint.llm.quality import score_quality
-from dewpoint.llm.secrets import BASE, KINDS, redact, scan_secrets, span_text
+from dewpoint.llm.secrets import BASE, KINDS, redact, scan_secrets, span_text, train_models
 from dewpoint.llm.sharding import jump_hash, shard_documents
 from dewpoint.llm.topk import quantised, top_k, usable
 from dewpoint.llm.urls import UrlRule, judge_urls
@@ -229,6 +229,21 @@ def test_random_strings_are_found(spark):
     assert spans == "markov:13:33"
 
 
+def test_keys_of_any_kind_are_found_whole(spark):
+    keys = ["QwErTyUiOpAsDfGhJkLzXcVb", "sk_live_" + "0a9f" * 6 + "ZqXkTpLwVnR4sHyB", "xK9qZ2vW7jQ4bT"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    texts = [f"before it {k} after it" for k in keys]
+    more = docs.unionByName(spark.createDataFrame([(t,) for t in texts], "text string"))
+    found = scan_secrets(more).filter(F.col("text").isin(texts))
+    clean = [r[0] for r in found.select(redact(F.col("text"), F.col("spans"))).collect()]
+    assert clean == ["before it [secret] after it"] * 3
+
+
+def test_models_learn_from_all_distinct_tokens(spark):
+    docs = spark.createDataFrame([("ordinary words here",), ("0a9f" * 8,)], "text string")
+    assert train_models(docs) == train_models(docs.unionByName(docs))
+
+
 def test_licences(spark):
     rows = [
         ("a/LICENSE", "Licensed under the Apache License, Version 2.0."),

@@ -13,6 +13,7 @@ from dewpoint.llm.licences import scan_licences
 from dewpoint.llm.minhash import near_duplicates
 from dewpoint.llm.mixing import mix_sources
 from dewpoint.llm.packing import pack_documents
+from dewpoint.llm.phrases import collocations
 from dewpoint.llm.sharding import shard_documents
 from dewpoint.llm.quality import score_quality
 from dewpoint.llm.secrets import KINDS, scan_secrets, span_text
@@ -93,6 +94,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_near_embeddings,
@@ -105,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_secret_scan,
         op9_licence_scan,
         op10_top_k,
+        op11_collocations,
     )
     return {query.__name__: query for query in named}
 
@@ -191,6 +197,52 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+COLLOCATIONS_SQL = r"""
+WITH folded AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')),
+                                  '[^\x20\x09]+') AS words
+  FROM folded),
+sizes AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+runs AS (
+  SELECT lang, k, words, unnest(generate_series(1, len(words) - k + 1)) AS i
+  FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
+counts AS (
+  SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM runs GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, k, phrase, f AS a, unnest(generate_series(1, k - 1)) AS cut,
+         string_split(phrase, ' ') AS words
+  FROM counts WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, l.f AS l, r.f AS r, s.n, c.cut,
+         CAST(CAST(1000 AS HUGEINT) * c.a * s.n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT)
+           AS score
+  FROM cuts c JOIN sizes s USING (lang)
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(words[:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')),
+lowest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+whole AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM counts o WHERE o.lang = s.lang AND o.k > s.k AND 100 * o.f >= 100 * s.a
+      AND contains(' ' || o.phrase || ' ', ' ' || s.phrase || ' '))),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM whole)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_embeddings": NEAR_EMBEDDINGS_SQL, "op3_mixing": MIXING_SQL, "op10_top_k": TOP_K_SQL}
+    return {
+        "op1_near_embeddings": NEAR_EMBEDDINGS_SQL,
+        "op3_mixing": MIXING_SQL,
+        "op10_top_k": TOP_K_SQL,
+        "op11_collocations": COLLOCATIONS_SQL,
+    }

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dewpoint.llm.common import table
+from dewpoint.llm.common import WORD, table
 from dewpoint.llm.embeddings import near_embeddings
 from dewpoint.llm.licences import scan_licences
 from dewpoint.llm.minhash import near_duplicates
 from dewpoint.llm.mixing import mix_sources
 from dewpoint.llm.packing import pack_documents
 from dewpoint.llm.phrases import collocations
+from dewpoint.llm.runs import longest_run, periodic_runs
 from dewpoint.llm.sharding import shard_documents
 from dewpoint.llm.quality import score_quality
 from dewpoint.llm.secrets import KINDS, scan_secrets, span_text
@@ -98,6 +99,41 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose crc32 ends in 0 go on periodically from some word."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", _made_periodic()))
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    length, period = longest_run(F.col("runs"), "length"), longest_run(F.col("runs"), "period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        longest_run(F.col("runs"), "start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.call_function("div", length * 1000, period).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _made_periodic() -> Column:
+    """The text; every tenth one's words from number a on repeat the first p of them."""
+    text = F.coalesce("text", F.lit(""))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = F.try_mod(g, n).cast("int")
+    p = F.floor((n - a) / (3 + g % 8)).cast("int") + 1
+    times = F.ceil((n - a) / p).cast("int")
+    cycle = F.slice(words, a + 1, p)
+    rest = F.slice(F.flatten(F.array_repeat(cycle, times)), F.lit(1), n - a)
+    repeated = F.concat(F.slice(words, F.lit(1), a), rest)
+    return F.when((h % 10 == 0) & F.regexp_like(text, F.lit(WORD)), F.array_join(repeated, " ")).otherwise(text)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_near_embeddings,
@@ -111,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_licence_scan,
         op10_top_k,
         op11_collocations,
+        op13_periodic_runs,
     )
     return {query.__name__: query for query in named}
 

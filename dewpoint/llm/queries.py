@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dewpoint.llm.common import WORD, table
 from dewpoint.llm.embeddings import near_embeddings
+from dewpoint.llm.languages import held_out, identify, train
 from dewpoint.llm.licences import scan_licences
 from dewpoint.llm.minhash import near_duplicates
 from dewpoint.llm.mixing import mix_sources
@@ -99,6 +100,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    apart = docs.withColumn("held_out", held_out("doc_id"))
+    model = train(apart.filter(~F.col("held_out")))
+    return identify(apart.select("doc_id", "text", "held_out"), model).drop("text")
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose crc32 ends in 0 go on periodically from some word."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -147,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_licence_scan,
         op10_top_k,
         op11_collocations,
+        op12_language,
         op13_periodic_runs,
     )
     return {query.__name__: query for query in named}

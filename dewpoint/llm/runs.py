@@ -46,8 +46,9 @@ def runs_in(words: np.ndarray, documents: np.ndarray) -> np.ndarray:
         if len(same) >= max(LEAST - lag, lag):
             cuts = np.flatnonzero(np.diff(same) != 1)
             first = same[np.concatenate(([0], cuts + 1))]
-            last = same[np.concatenate((cuts, [len(same) - 1]))]
-            for a, b in zip(first.tolist(), (last + 1).tolist(), strict=True):
+            after = same[np.concatenate((cuts, [len(same) - 1]))] + 1
+            long = after - first >= max(LEAST - lag, lag)
+            for a, b in zip(first[long].tolist(), after[long].tolist(), strict=True):
                 found.add(a, b, lag)
     hashes, block = _mixed(words.astype(np.uint64)), 1
     places = np.arange(n)
@@ -201,7 +202,8 @@ def _minimizers(hashes: np.ndarray, places: np.ndarray, window: int) -> np.ndarr
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     order = (least & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
-    return places[np.unique(order)]
+    # The place moves on with the window, so equal ones are neighbours.
+    return places[order[np.concatenate(([True], order[1:] != order[:-1]))]]
 
 
 def _equal_pairs(

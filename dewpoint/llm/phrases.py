@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from array import array
 from collections.abc import Iterator, Sequence
 from math import prod
@@ -29,6 +30,8 @@ _COUNTS = pa.schema(
 )
 _SLICE = 100_000  # phrases made into text at once
 _MARK_BITS = 2**26  # bits of the marks of one length at most
+_BUCKETS = 2**27  # buckets of border phrases at most
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _BUCKET_BITS = 32_768  # bits of one value of bitmap_construct_agg
 
 
@@ -50,13 +53,6 @@ class Marks:
     def __init__(self, longest: int):
         self.bits = {length: np.zeros(_BUCKET_BITS, dtype=bool) for length in range(1, longest)}
 
-    def holds(self, lang: bytes, length: int, phrases: Sequence[bytes]) -> np.ndarray:
-        """Whether each phrase of a length is marked."""
-        bits = self.bits[length]
-        prefix, last = lang + b"\t", len(bits) - 1
-        places = [xxhash.xxh64_intdigest(prefix + p, 42) & last for p in phrases]
-        return bits[np.array(places, dtype=np.int64)]
-
     def with_phrases(self, phrases: DataFrame, grow: bool) -> Marks:
         """These marks and those of ``lang, length, phrase``.
 
@@ -70,24 +66,38 @@ class Marks:
             for length, n in phrases.groupBy("length").count().collect():
                 wanted = 1 << max(15, (16 * n - 1).bit_length())
                 new.bits[length] = np.zeros(min(wanted, _MARK_BITS), dtype=bool)
-        for length, bits in new.bits.items():
-            place = F.xxhash64(F.concat_ws("\t", "lang", "phrase")).bitwiseAND(len(bits) - 1)
-            found = (
-                phrases.filter(F.col("length") == length)
-                # Bits of a bucket are numbered from 0, buckets from 1.
-                .select((place + 1).alias("place"))
-                .groupBy(F.call_function("bitmap_bucket_number", F.col("place")).alias("bucket"))
-                .agg(
-                    F.call_function(
-                        "bitmap_construct_agg",
-                        F.call_function("bitmap_bit_position", F.col("place")),
-                    ).alias("bitmap")
+        sizes = {length: len(bits) for length, bits in new.bits.items()}
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lengths = batch.column("length").to_pylist()
+                places = [
+                    _places(_hash(lang.encode(), phrase.encode()), sizes[length])[0]
+                    for lang, length, phrase in zip(
+                        batch.column("lang").to_pylist(),
+                        lengths,
+                        batch.column("phrase").to_pylist(),
+                        strict=True,
+                    )
+                ]
+                # Buckets are numbered from 1, the bits of a bucket from 0.
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lengths, pa.int32()), pa.array(places, pa.int64())],
+                    names=["length", "place"],
                 )
-            )
-            for row in found.collect():
-                here = np.unpackbits(np.frombuffer(row.bitmap, np.uint8), bitorder="little")
-                at = (row.bucket - 1) * _BUCKET_BITS
-                bits[at : at + _BUCKET_BITS] |= here.astype(bool)
+
+        bucket = F.call_function("bitmap_bucket_number", F.col("place") + 1)
+        bit = F.call_function("bitmap_bit_position", F.col("place") + 1)
+        found = (
+            phrases.select("lang", "length", "phrase")
+            .mapInArrow(place, "length int, place long")
+            .groupBy("length", bucket.alias("bucket"))
+            .agg(F.call_function("bitmap_construct_agg", bit).alias("bitmap"))
+        )
+        for row in found.collect():
+            here = np.unpackbits(np.frombuffer(row.bitmap, np.uint8), bitorder="little")
+            at = (row.bucket - 1) * _BUCKET_BITS
+            new.bits[row.length][at : at + _BUCKET_BITS] |= here.astype(bool)
         return new
 
     def packed(self) -> dict[int, bytes]:
@@ -103,6 +113,25 @@ class Marks:
         return marks
 
 
+def _word_hashes(lang: bytes, words: list[bytes]) -> np.ndarray:
+    prefix = lang + b"\t"
+    return np.array([xxhash.xxh3_64_intdigest(prefix + w) for w in words], dtype=np.uint64)
+
+
+def _hash(lang: bytes, phrase: bytes) -> np.ndarray:
+    """The hash of one phrase, as ``_Words.levels`` makes it from those of its words."""
+    first, *others = _word_hashes(lang, phrase.split(b" "))[:, None]
+    for word in others:
+        first = first * _MIX + word
+    return first
+
+
+def _places(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A place below ``size``, a power of two, for each hash."""
+    mixed = (hashes ^ (hashes >> np.uint64(32))) * _MIX
+    return (mixed >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
 class _Words:
     """The words of some texts of one language, with a break after each piece."""
 
@@ -117,55 +146,77 @@ class _Words:
                 ids.extend(map(number, words))
                 ids.append(-1)
 
-    def counts(
-        self, lang: bytes, marks: Marks, before: Marks | None, lengths: range
-    ) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-        """``length, phrases, occurrences`` of the phrases that are to be counted.
+    def levels(
+        self, lang: bytes, marks: Marks, before: Marks | None, longest: int
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length the phrases whose parts are all marked.
 
-        These are the phrases of the wanted lengths whose parts are all marked. With
-        ``before`` those whose parts were all marked then are left out, and the others are
-        parts of longer ones, marked or not. Length 0 stands for the words themselves.
+        Gives ``length, starts, hashes, marked``. With ``before`` those whose parts were all
+        marked then are left out, and the others are parts of longer ones, marked or not.
         """
         ids = np.frombuffer(self.ids, dtype=np.int32)
-        if lengths.start == 0 and len(ids):
-            yield 0, [b""], np.array([np.count_nonzero(ids >= 0)])
-        # At each start: the number of its phrase among those of this length, or -1.
-        at = ids.astype(np.int64)
-        texts = list(self.numbers)
-        words = texts
-        occurrences = np.bincount(ids[ids >= 0], minlength=len(texts))
-        known = np.ones(len(texts), dtype=bool)  # counted with the marks before
-        for length in range(1, lengths.stop):
-            if length in lengths:
-                chosen = np.flatnonzero(~known) if before else np.arange(len(texts))
-                for a in range(0, len(chosen), _SLICE):
-                    part = chosen[a : a + _SLICE]
-                    yield length, [texts[i] for i in part], occurrences[part]
-            if length + 1 == lengths.stop or not texts:
+        words = _word_hashes(lang, list(self.numbers))
+        if not len(words):
+            return
+        own = words[ids]  # breaks get some word's hash, but are no starts
+        hashes, fits = own, ids >= 0
+        known = fits  # counted with the marks before
+        for length in range(1, longest + 1):
+            starts = np.flatnonzero(fits)
+            here = hashes[starts]
+            bits = marks.bits.get(length)
+            marked = bits[_places(here, len(bits))] if bits is not None else np.ones(len(here), bool)
+            if before:
+                new = ~known[starts]
+                yield length, starts[new], here[new], marked[new]
+                marked |= new
+            else:
+                yield length, starts, here, marked
+            if length == longest:
                 return
-            marked = np.zeros(len(texts), dtype=bool)
-            for a in range(0, len(texts), _SLICE):
-                marked[a : a + _SLICE] = marks.holds(lang, length, texts[a : a + _SLICE])
+            good = np.zeros(len(fits), dtype=bool)
+            good[starts[marked]] = True
             if before:
-                marked |= ~known
-                for a in range(0, len(texts), _SLICE):
-                    part = before.holds(lang, length, texts[a : a + _SLICE])
-                    known[a : a + _SLICE] &= part
-            good = np.where(at >= 0, marked[at], False)
-            starts = np.flatnonzero(good[:-1] & good[1:])
-            first, rest = at[starts], at[starts + 1]
-            code, keys = pd.factorize(first * len(texts) + rest)
-            occurrences = np.bincount(code, minlength=len(keys))
-            where = np.zeros(len(keys), dtype=np.int64)
-            where[code[::-1]] = np.arange(len(code))[::-1]  # the first of each
-            known = known[first[where]] & known[rest[where]]
-            last = ids[starts[where] + length]
-            texts = [
-                texts[f] + b" " + words[w]
-                for f, w in zip(first[where].tolist(), last.tolist(), strict=True)
-            ]
-            at = np.full(len(ids), -1, dtype=np.int64)
-            at[starts] = code
+                old = before.bits[length]
+                known = known.copy()
+                known[starts] &= old[_places(here, len(old))]
+                known = known[:-1] & known[1:]
+            fits = good[:-1] & good[1:]
+            hashes = hashes[:-1] * _MIX + own[length:]
+
+    def counted(self, length: int, starts: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """The distinct phrases that begin at ``starts``, with their numbers."""
+        ids = np.frombuffer(self.ids, dtype=np.int32).astype(np.int64)
+        words = list(self.numbers)
+        code = ids[starts]
+        for more in range(1, length):
+            code, _ = pd.factorize(code * len(words) + ids[starts + more])
+        code, keys = pd.factorize(code)
+        occurrences = np.bincount(code, minlength=len(keys))
+        where = np.zeros(len(keys), dtype=np.int64)
+        where[code[::-1]] = starts[::-1]  # the first of each
+        for a in range(0, len(where), _SLICE):
+            part = where[a : a + _SLICE]
+            columns = [[words[i] for i in ids[part + more].tolist()] for more in range(length)]
+            yield list(map(b" ".join, zip(*columns))), occurrences[a : a + _SLICE]
+
+
+def _held(
+    batches: Iterator[pa.RecordBatch], words_at_once: int
+) -> Iterator[dict[str, _Words]]:
+    """The words of the texts by language, about ``words_at_once`` at a time."""
+    held: dict[str, _Words] = {}
+    words = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+            of_lang = held.setdefault(lang.as_py(), _Words())
+            words -= len(of_lang.ids)
+            of_lang.add(text.as_py())
+            words += len(of_lang.ids)
+            if words >= words_at_once:
+                yield held
+                held, words = {}, 0
+    yield held
 
 
 def count_phrases(
@@ -174,48 +225,50 @@ def count_phrases(
     lengths: range,
     *,
     before: Marks | None = None,
+    open_: np.ndarray | None = None,
     words_at_once: int = 1_000_000,
 ) -> DataFrame:
     """``lang, length, phrase, n``: exact counts of phrases whose parts are all marked.
 
-    ``texts`` has ``lang`` and ``text`` without nulls. A task counts about ``words_at_once``
-    words at a time (a longer text at once) and hands on a row per phrase, so the frequent
-    ones shrink to a row a task before the shuffle.
+    ``texts`` has ``lang`` and ``text`` without nulls. Length 0 stands for the words
+    themselves. With ``open_`` the phrases that are not marked count only if their bucket is
+    set in it. A task counts about ``words_at_once`` words at a time (a longer text at
+    once) and hands on a row per phrase, so the frequent ones shrink to a row a task
+    before the shuffle.
     """
     context = texts.sparkSession.sparkContext
-    shared = context.broadcast((marks.packed(), before and before.packed()))
+    packed = None if open_ is None else np.packbits(open_).tobytes()
+    shared = context.broadcast((marks.packed(), before and before.packed(), packed))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, then = shared.value
+        now, then, buckets = shared.value
         now, then = Marks.unpacked(now), then and Marks.unpacked(then)
-        held: dict[str, _Words] = {}
+        if buckets is not None:
+            buckets = np.unpackbits(np.frombuffer(buckets, np.uint8)).astype(bool)
+
+        def row(lang: str, length: int, phrases: list[bytes], n: Sequence[int]) -> pa.RecordBatch:
+            columns = [
+                pa.array([lang] * len(phrases), pa.string()),
+                pa.array([length] * len(phrases), pa.int32()),
+                pa.array(phrases, pa.binary()).cast(pa.string()),
+                pa.array(n, pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, schema=_COUNTS)
 
-        def flushed() -> Iterator[pa.RecordBatch]:
+        for held in _held(batches, words_at_once):
             for lang, words in held.items():
-                found = words.counts(lang.encode(), now, then, lengths)
-                for length, phrases, occurrences in found:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(phrases), pa.string()),
-                            pa.array([length] * len(phrases), pa.int32()),
-                            pa.array(phrases, pa.binary()).cast(pa.string()),
-                            pa.array(occurrences, pa.int64()),
-                        ],
-                        schema=_COUNTS,
-                    )
-            held.clear()
-
-        words = 0
-        for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-                of_lang = held.setdefault(lang.as_py(), _Words())
-                words -= len(of_lang.ids)
-                of_lang.add(text.as_py())
-                words += len(of_lang.ids)
-                if words >= words_at_once:
-                    yield from flushed()
-                    words = 0
-        yield from flushed()
+                if 0 in lengths and len(words.ids):
+                    yield row(lang, 0, [b""], [int(np.count_nonzero(np.frombuffer(words.ids, np.int32) >= 0))])
+                found = words.levels(lang.encode(), now, then, lengths.stop - 1)
+                for length, starts, hashes, marked in found:
+                    if length not in lengths:
+                        continue
+                    if buckets is not None:
+                        rest = np.flatnonzero(~marked)
+                        marked[rest] = buckets[_bucket(hashes[rest], length, len(buckets))]
+                        starts = starts[marked]
+                    for phrases, occurrences in words.counted(length, starts):
+                        yield row(lang, length, phrases, occurrences)
 
     return (
         texts.select("lang", "text")
@@ -225,6 +278,77 @@ def count_phrases(
     )
 
 
+def _bucket(hashes: np.ndarray, length: int, buckets: int) -> np.ndarray:
+    return _places(hashes + np.uint64(length), buckets)
+
+
+def open_buckets(
+    texts: DataFrame,
+    marks: Marks,
+    support: int,
+    longest: int,
+    *,
+    buckets: int,
+    words_at_once: int = 1_000_000,
+) -> np.ndarray:
+    """Which buckets of border phrases hold ``support`` occurrences or more.
+
+    The border are the phrases that are not marked while all their parts are. A phrase is
+    no more frequent than its bucket, so the others need not be counted one by one. A task
+    keeps a number up to ``support`` a bucket and hands on ranges of them, compressed; they
+    are added in two steps, so no task gets more than some of them. The driver gets a bit
+    a bucket.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(marks.packed())
+    kind = np.min_scalar_type(support)
+    size = min(buckets, _BUCKET_BITS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = Marks.unpacked(shared.value)
+        counters = np.zeros(buckets, dtype=kind)
+        for held in _held(batches, words_at_once):
+            for lang, words in held.items():
+                for length, _, hashes, marked in words.levels(lang.encode(), now, None, longest):
+                    at = np.sort(_bucket(hashes[~marked], length, buckets))
+                    first = np.flatnonzero(np.diff(at, prepend=-1))
+                    n = np.diff(first, append=len(at)) + counters[at[first]]
+                    counters[at[first]] = np.minimum(n, support)
+        ranges = counters.reshape(-1, size)
+        for a in np.flatnonzero(ranges.any(axis=1)).tolist():
+            data = zlib.compress(ranges[a].tobytes(), 1)
+            part = zlib.crc32(data) % 64
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a], pa.int32()), pa.array([part], pa.int32()), pa.array([data])],
+                names=["range", "part", "data"],
+            )
+
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(size, dtype=np.int64)
+        for data in frame["data"]:
+            total += np.frombuffer(zlib.decompress(data), dtype=kind)
+        data = zlib.compress(np.minimum(total, support).astype(kind).tobytes(), 1)
+        return frame.iloc[:1].assign(data=[data])
+
+    def full(frame: pd.DataFrame) -> pd.DataFrame:
+        total = np.frombuffer(zlib.decompress(added(frame)["data"].iloc[0]), dtype=kind)
+        return frame.iloc[:1].assign(data=[np.packbits(total >= support).tobytes()])
+
+    schema = "range int, part int, data binary"
+    found = (
+        texts.select("lang", "text")
+        .mapInArrow(count, schema)
+        .groupBy("range", "part")
+        .applyInPandas(added, schema)
+        .groupBy("range")
+        .applyInPandas(full, schema)
+    )
+    open_ = np.zeros(buckets, dtype=bool)
+    for row in found.select("range", "data").collect():
+        bits = np.unpackbits(np.frombuffer(row.data, np.uint8), count=size)
+        open_[row.range * size : (row.range + 1) * size] = bits
+    return open_
+
+
 def frequent_phrases(
     texts: DataFrame,
     *,
@@ -237,13 +361,17 @@ def frequent_phrases(
 
     Length 0 holds each language's number of words, whatever it is. By Toivonen: a random
     sample of short runs of words proposes the phrases that reach a quarter of their share
-    of the support in it. One pass over all texts then counts exactly every phrase whose
-    parts (its words but the last, its words but the first) are all proposed: the proposed phrases and their
-    negative border, so far as it occurs. If phrases of the border reach the support, they
-    are added and an expansion pass counts all phrases that can be made with them, each
-    taken for frequent until counted: what it leaves out has a part that was counted and
-    does not reach the support, so the border is closed. The sample decides whether there
-    is that pass, not the result.
+    of the support in it. All texts are then counted for the proposed phrases and their
+    negative border, the phrases whose parts (their words but the last, their words but
+    the first) are all proposed: first in buckets for the border, then exactly for the
+    proposed phrases and those border phrases whose bucket reaches the support. If phrases
+    of the border reach the support themselves, they are added and an expansion pass counts
+    all phrases that can be made with them, each taken for frequent until counted: what it
+    leaves out has a part that was counted and does not reach the support, so the border is
+    closed. The sample decides whether there is that pass, not the result.
+
+    There are about a quarter as many buckets as words, up to ``_BUCKETS``. Beyond some
+    100 GB of text they fill up, and more and more of the border is counted by its text.
     """
     # Some words in a row are drawn, not texts: a text may repeat a phrase, or be a copy.
     pieces = texts.select(
@@ -251,15 +379,24 @@ def frequent_phrases(
     )
     chosen = kept(pieces.sample(sample, seed=seed))
     lowered = max(1, int(support * sample / 4))
-    marks = Marks(longest)
+    marks, words = Marks(longest), 0
     for length in range(1, longest):
-        found = count_phrases(chosen, marks, range(length, length + 1))
-        marks = marks.with_phrases(kept(found.filter(F.col("n") >= lowered)), grow=True)
+        # The words of the sample are counted beside those of length 1.
+        found = kept(
+            count_phrases(chosen, marks, range(length if length > 1 else 0, length + 1)).filter(
+                (F.col("n") >= lowered) | (F.col("length") == 0)
+            )
+        )
+        if length == 1:
+            words = found.filter("length = 0").agg(F.sum("n")).first()[0] or 0
+        marks = marks.with_phrases(found.filter("length > 0"), grow=True)
+    wanted = 1 << max(15, int(words / sample / 4).bit_length())
+    open_ = open_buckets(texts, marks, support, longest, buckets=min(wanted, _BUCKETS))
 
     def reaching(counts: DataFrame) -> DataFrame:
         return kept(counts.filter((F.col("n") >= support) | (F.col("length") == 0)))
 
-    frequent = reaching(count_phrases(texts, marks, range(longest + 1)))
+    frequent = reaching(count_phrases(texts, marks, range(longest + 1), open_=open_))
     failed = kept(_unmarked(frequent.filter(F.col("length").between(1, longest - 1)), marks))
     if failed.isEmpty():
         return frequent
@@ -273,14 +410,14 @@ def _unmarked(phrases: DataFrame, marks: Marks) -> DataFrame:
     shared = phrases.sparkSession.sparkContext.broadcast(marks.packed())
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = Marks.unpacked(shared.value)
+        here = Marks.unpacked(shared.value).bits
         for batch in batches:
+            rows = zip(
+                *(batch.column(c).to_pylist() for c in ("lang", "length", "phrase")), strict=True
+            )
             held = [
-                bool(here.holds(lang.encode(), length, [phrase.encode()])[0])
-                for lang, length, phrase in zip(
-                    *(batch.column(c).to_pylist() for c in ("lang", "length", "phrase")),
-                    strict=True,
-                )
+                here[length][_places(_hash(lang.encode(), phrase.encode()), len(here[length]))[0]]
+                for lang, length, phrase in rows
             ]
             yield batch.filter(pa.array([not h for h in held], pa.bool_()))
 

@@ -2,10 +2,18 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from dewpoint.llm.phrases import Marks, collocations
+from dewpoint.llm.phrases import (
+    Marks,
+    _bucket,
+    _hash,
+    _Words,
+    collocations,
+    count_phrases,
+    open_buckets,
+)
 
 DOCS = "doc_id long, text string, lang string, phrase string, n int, rank string"
 
@@ -84,11 +92,40 @@ def test_long_text_equals_brute_force(spark):
 
 
 def test_marks_are_at_the_places_that_tasks_look_at(spark):
-    phrases = spark.createDataFrame(
-        [("en", 1, "été"), ("en", 2, "a b"), ("und", 2, "日本 x")], "lang string, length int, phrase string"
-    )
-    marks = Marks.unpacked(Marks(3).with_phrases(phrases, grow=True).packed())
-    assert marks.holds(b"en", 1, ["été".encode(), b"b"]).tolist() == [True, False]
-    assert marks.holds(b"und", 2, ["日本 x".encode(), b"a b"]).tolist() == [True, False]
-    more = marks.with_phrases(phrases.select("lang", "length", F.lit("c d").alias("phrase")), grow=False)
-    assert more.holds(b"en", 2, [b"a b", b"c d", b"d c"]).tolist() == [True, True, False]
+    phrases = [("en", 1, "été"), ("en", 2, "a b"), ("und", 2, "日本 x")]
+    table = spark.createDataFrame(phrases, "lang string, length int, phrase string")
+    marks = Marks.unpacked(Marks(3).with_phrases(table, grow=True).packed())
+    words = _Words()
+    words.add("Été a b. b a")
+    found = {
+        (length, phrase.decode()): bool(m)
+        for length, starts, _, marked in words.levels(b"en", marks, None, 2)
+        for start, m in zip(starts, marked)
+        for (phrase,), _ in words.counted(length, np.array([start]))
+    }
+    # "b a" and "a b" are no phrases whose words are marked.
+    assert found == {(1, "Été"): False, (1, "a"): False, (1, "b"): False}
+    everything = Marks(3)
+    everything.bits[1][:] = True
+    everything = everything.with_phrases(table.filter("length = 2"), grow=False)
+    found = {
+        phrase.decode(): bool(m)
+        for length, starts, _, marked in words.levels(b"en", everything, None, 2)
+        for start, m in zip(starts, marked)
+        for (phrase,), _ in words.counted(length, np.array([start]))
+        if length == 2
+    }
+    assert found == {"Été a": False, "a b": True, "b a": False}
+
+
+def test_buckets_hold_every_frequent_border_phrase(spark):
+    rows = texts(6, 60)
+    docs = spark.createDataFrame([("en", t or "") for t, _ in rows], "lang string, text string")
+    nothing = Marks(3)
+    open_ = open_buckets(docs.repartition(3), nothing, 300, 2, buckets=2**15)
+    counts = count_phrases(docs, nothing, range(1, 3)).collect()
+    assert len(counts) > 15 and max(r.n for r in counts) > 300
+    for row in counts:
+        place = _bucket(_hash(b"en", row.phrase.encode()), 1, 2**15)[0]
+        assert open_[place] or row.n < 300
+    assert open_.sum() <= sum(r.n >= 300 for r in counts) + 2

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
+from itertools import islice
 from math import prod
 
 import numpy as np
@@ -135,8 +136,22 @@ def _places(hashes: np.ndarray, size: int) -> np.ndarray:
 class _Words:
     """The words of some texts of one language, with a break after each piece."""
 
-    def __init__(self) -> None:
-        self.numbers, self.ids = _Numbers(), array("i")
+    def __init__(self, remembered: int = 500_000):
+        self.numbers, self.ids, self.remembered = _Numbers(), array("i"), remembered
+        self.texts: list[bytes] = []  # of the numbers, with their hashes
+        self.hashes = np.zeros(0, dtype=np.uint64)
+
+    def restart(self) -> None:
+        """Forget the words, not their numbers unless they are many."""
+        self.ids = array("i")
+        if len(self.numbers) > self.remembered:
+            self.__init__(self.remembered)
+
+    def known(self, lang: bytes) -> None:
+        """List the texts and hashes of new numbers."""
+        new = list(islice(self.numbers, len(self.texts), None))
+        self.texts += new
+        self.hashes = np.concatenate((self.hashes, _word_hashes(lang, new)))
 
     def add(self, text: str) -> None:
         ids, number = self.ids, self.numbers.__getitem__
@@ -155,17 +170,20 @@ class _Words:
         marked then are left out, and the others are parts of longer ones, marked or not.
         """
         ids = np.frombuffer(self.ids, dtype=np.int32)
-        words = _word_hashes(lang, list(self.numbers))
-        if not len(words):
+        self.known(lang)
+        if not len(ids):
             return
-        own = words[ids]  # breaks get some word's hash, but are no starts
+        own = self.hashes[ids]  # breaks get some word's hash, but are no starts
         hashes, fits = own, ids >= 0
         known = fits  # counted with the marks before
         for length in range(1, longest + 1):
             starts = np.flatnonzero(fits)
             here = hashes[starts]
             bits = marks.bits.get(length)
-            marked = bits[_places(here, len(bits))] if bits is not None else np.ones(len(here), bool)
+            if bits is None:
+                marked = np.ones(len(here), dtype=bool)
+            else:
+                marked = bits[_places(here, len(bits))]
             if before:
                 new = ~known[starts]
                 yield length, starts[new], here[new], marked[new]
@@ -187,7 +205,7 @@ class _Words:
     def counted(self, length: int, starts: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray]]:
         """The distinct phrases that begin at ``starts``, with their numbers."""
         ids = np.frombuffer(self.ids, dtype=np.int32).astype(np.int64)
-        words = list(self.numbers)
+        words = self.texts
         code = ids[starts]
         for more in range(1, length):
             code, _ = pd.factorize(code * len(words) + ids[starts + more])
@@ -215,7 +233,9 @@ def _held(
             words += len(of_lang.ids)
             if words >= words_at_once:
                 yield held
-                held, words = {}, 0
+                for of_lang in held.values():
+                    of_lang.restart()
+                words = 0
     yield held
 
 
@@ -258,7 +278,8 @@ def count_phrases(
         for held in _held(batches, words_at_once):
             for lang, words in held.items():
                 if 0 in lengths and len(words.ids):
-                    yield row(lang, 0, [b""], [int(np.count_nonzero(np.frombuffer(words.ids, np.int32) >= 0))])
+                    n = np.count_nonzero(np.frombuffer(words.ids, np.int32) >= 0)
+                    yield row(lang, 0, [b""], [n])
                 found = words.levels(lang.encode(), now, then, lengths.stop - 1)
                 for length, starts, hashes, marked in found:
                     if length not in lengths:

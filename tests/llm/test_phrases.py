@@ -118,6 +118,17 @@ def test_marks_are_at_the_places_that_tasks_look_at(spark):
     assert found == {"Été a": False, "a b": True, "b a": False}
 
 
+def test_words_in_portions():
+    """Numbers go on over portions and start anew beyond a bound."""
+    words = _Words(remembered=3)
+    for text in ("a b a", "b c", "a d", "e a", "x a e"):
+        words.add(text)
+        (level,) = words.levels(b"en", Marks(1), None, 1)
+        counted = dict(zip(*next(words.counted(1, level[1]))))
+        assert counted == dict(Counter(w.encode() for w in text.split()))
+        words.restart()
+
+
 def test_buckets_hold_every_frequent_border_phrase(spark):
     rows = texts(6, 60)
     docs = spark.createDataFrame([("en", t or "") for t, _ in rows], "lang string, text string")

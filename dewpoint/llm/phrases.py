@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -316,9 +317,9 @@ def open_buckets(
 
     The border are the phrases that are not marked while all their parts are. A phrase is
     no more frequent than its bucket, so the others need not be counted one by one. A task
-    keeps a number up to ``support`` a bucket and hands on ranges of them, compressed; they
-    are added in two steps, so no task gets more than some of them. The driver gets a bit
-    a bucket.
+    keeps a number up to ``support`` a bucket and hands on ranges of them, compressed; the
+    same range of 256 tasks is added at a time, then the sums. The driver gets a bit a
+    bucket.
     """
     shared = texts.sparkSession.sparkContext.broadcast(marks.packed())
     kind = np.min_scalar_type(support)
@@ -335,9 +336,9 @@ def open_buckets(
                     n = np.diff(first, append=len(at)) + counters[at[first]]
                     counters[at[first]] = np.minimum(n, support)
         ranges = counters.reshape(-1, size)
+        part = TaskContext.get().partitionId() // 256
         for a in np.flatnonzero(ranges.any(axis=1)).tolist():
             data = zlib.compress(ranges[a].tobytes(), 1)
-            part = zlib.crc32(data) % 64
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a], pa.int32()), pa.array([part], pa.int32()), pa.array([data])],
                 names=["range", "part", "data"],
@@ -381,8 +382,8 @@ def frequent_phrases(
     """``lang, length, phrase, n`` of all phrases that occur ``support`` times or more.
 
     Length 0 holds each language's number of words, whatever it is. By Toivonen: a random
-    sample of short runs of words proposes the phrases that reach a quarter of their share
-    of the support in it. All texts are then counted for the proposed phrases and their
+    sample of short runs of words proposes the phrases that reach half their share of the
+    support in it. All texts are then counted for the proposed phrases and their
     negative border, the phrases whose parts (their words but the last, their words but
     the first) are all proposed: first in buckets for the border, then exactly for the
     proposed phrases and those border phrases whose bucket reaches the support. If phrases
@@ -399,7 +400,7 @@ def frequent_phrases(
         "lang", F.explode(F.regexp_extract_all("text", F.lit(DRAWN), F.lit(0))).alias("text")
     )
     chosen = kept(pieces.sample(sample, seed=seed))
-    lowered = max(1, int(support * sample / 4))
+    lowered = max(1, int(support * sample / 2))
     marks, words = Marks(longest), 0
     for length in range(1, longest):
         # The words of the sample are counted beside those of length 1.

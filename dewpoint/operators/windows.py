@@ -5,11 +5,15 @@ from __future__ import annotations
 from functools import reduce
 from math import gcd
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dewpoint.functions import exact_average, exponent_group, in_units, parts_of
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 
+# The measures and their columns in a reading.
+MEASURES = {"t": "temperature", "h": "humidity"}
+
 
 def sliding_averages(
     readings: DataFrame,
@@ -23,48 +27,101 @@ def sliding_averages(
     t_avg, h_avg``. Windows are aligned to the epoch, start inclusive. Readings
     without an event time belong to no window, null measurements do not count.
 
+    Sums are exact (see ``functions.exact``), so an average depends on nothing but the
+    readings: not on their order, on how they are cut into partitions or batches, nor on
+    whether they come from a table or a stream.
+
     On a stream, ``watermark`` bounds the lateness and a window is emitted once,
     when it closes. Lateness is judged per window, so each reading goes straight
     to its windows. On a table nothing is late, and the readings are first summed
     per pane (the greatest length dividing size and slide): each reading is then
     aggregated and shuffled once instead of size/slide times, and only panes are
     spread over their windows.
+
+    The readings of a window are summed by the groups of their exponents, of which
+    measurements of one kind have few. A second aggregate puts these together; on a stream
+    it has a state of its own, which is empty between batches.
     """
+    measured = _in_units(readings)
     if readings.isStreaming:
-        averages = (
-            readings.withWatermark("event_time", watermark)
-            .groupBy(F.window("event_time", size, slide))
-            .agg(F.avg("temperature").alias("t_avg"), F.avg("humidity").alias("h_avg"))
-        )
+        window = F.window("event_time", size, slide)
+        summed = measured.withWatermark("event_time", watermark).groupBy(
+            window, *[f"{m}_group" for m in MEASURES]
+        ).agg(*_sums_of_units())
     else:
-        averages = _averages_from_panes(readings, size, slide)
-    return averages.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "t_avg",
-        "h_avg",
+        summed = _summed_from_panes(measured, size, slide)
+    sums = [
+        F.struct(
+            F.collect_list(
+                F.when(  # nulls are not collected
+                    F.col(f"{m}_group").isNotNull(),
+                    F.struct(
+                        F.col(f"{m}_group").alias("group"),
+                        *[F.col(f"{m}_{i}").alias(f"part{i}") for i in range(3)],
+                    ),
+                )
+            ).alias("sums"),
+            F.sum(f"{m}_n").alias("n"),
+        )
+        for m in MEASURES
+    ]
+    # One expression for all measures: it is long.
+    averages = F.transform("sums", lambda s: exact_average(s["sums"], s["n"]))
+    return (
+        summed.groupBy("window")
+        .agg(F.array(*sums).alias("sums"))
+        .select("window", averages.alias("averages"))
+        .select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            *[F.get("averages", F.lit(i)).alias(f"{m}_avg") for i, m in enumerate(MEASURES)],
+        )
     )
 
 
-def _averages_from_panes(readings: DataFrame, size: str, slide: str) -> DataFrame:
-    pane = f"{gcd(*_micros(readings.sparkSession, size, slide))} microseconds"
-    panes = (
-        readings.groupBy(F.window("event_time", pane).alias("pane"))
-        .agg(
-            F.sum("temperature").alias("t_sum"),
-            F.count("temperature").alias("t_n"),
-            F.sum("humidity").alias("h_sum"),
-            F.count("humidity").alias("h_n"),
-        )
-        .select(F.col("pane.start").alias("pane_start"), "t_sum", "t_n", "h_sum", "h_n")
+def _in_units(readings: DataFrame) -> DataFrame:
+    """Readings as event time, and per measure its exponent group and units.
+
+    Generators keep the groups and units from being computed again at every use.
+    """
+    groups = F.struct(
+        *[exponent_group(F.col(c)).alias(f"{m}_group") for m, c in MEASURES.items()]
     )
-    sums = panes.groupBy(F.window("pane_start", size, slide)).agg(
-        *[F.sum(c).alias(c) for c in ("t_sum", "t_n", "h_sum", "h_n")]
+    units = F.struct(
+        *[
+            in_units(F.col(c), F.col(f"{m}_group")).alias(f"{m}_units")
+            for m, c in MEASURES.items()
+        ]
+    )
+    grouped = readings.select("event_time", *MEASURES.values(), F.inline(F.array(groups)))
+    return grouped.select("*", F.inline(F.array(units)))
+
+
+def _sums_of_units() -> list[Column]:
+    """Per measure the sums of its units' parts and the number of its values."""
+    sums = []
+    for m, c in MEASURES.items():
+        parts = parts_of(F.col(f"{m}_units"))
+        sums += [F.sum(part).alias(f"{m}_{i}") for i, part in enumerate(parts)]
+        sums.append(F.count(c).alias(f"{m}_n"))
+    return sums
+
+
+def _summed_from_panes(measured: DataFrame, size: str, slide: str) -> DataFrame:
+    pane = f"{gcd(*_micros(measured.sparkSession, size, slide))} microseconds"
+    groups = [f"{m}_group" for m in MEASURES]
+    sums = [f"{m}_{i}" for m in MEASURES for i in (0, 1, 2, "n")]
+    panes = (
+        measured.groupBy(F.window("event_time", pane).alias("pane"), *groups)
+        .agg(*_sums_of_units())
+        .select(F.col("pane.start").alias("pane_start"), *groups, *sums)
     )
-    return sums.select(
-        "window",
-        F.try_divide("t_sum", "t_n").alias("t_avg"),
-        F.try_divide("h_sum", "h_n").alias("h_avg"),
+    # Dealt by window once, for this aggregate and the next.
+    spread = panes.select(F.window("pane_start", size, slide).alias("window"), *groups, *sums)
+    return (
+        spread.repartition("window")
+        .groupBy("window", *groups)
+        .agg(*[F.sum(c).alias(c) for c in sums])
     )
 
 

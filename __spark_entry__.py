@@ -43,7 +43,13 @@ from dewpoint.sources import (
     write_batch,
     write_stream,
 )
-from dewpoint.streaming import start_fan_out, start_monitor
+from dewpoint.streaming import (
+    ledger_counts,
+    start_fan_out,
+    start_monitor,
+    start_running_counts,
+    start_separate,
+)
 
 # The queries for training data come with a subpackage that may be absent.
 try:
@@ -220,6 +226,42 @@ def _parts_in_time(events: DataFrame) -> list[DataFrame]:
     return [dealt.filter(part).drop("_middle") for part in (~later, later)]
 
 
+def averages_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows, and whether their averages are the same to the last bit from the
+    table as it is, from its readings in another order and other partitions, and from a
+    stream of them."""
+    bits = {c: F.col(c).cast("string") for c in ("t_avg", "h_avg")}
+    folder = work_folder(spark, "any-order")
+    readings = _readings(spark, sf_dir)
+    turned = readings.repartition(13, "temperature").sortWithinPartitions("humidity")
+    turned.write.parquet(f"{folder}/readings")
+    streamed = FileEndpoint(f"{folder}/readings", schema=readings.schema, max_files=5)
+    closed = FileEndpoint(f"{folder}/closed", schema=WINDOW_SCHEMA)
+    # No reading is late within ten thousand days.
+    windows = averages_of(read_stream(spark, streamed), watermark="10000 days")
+    end = turned.agg(F.max("event_time")).select(
+        F.lit("last").alias("sensor_id"),
+        F.lit(None).cast("double").alias("temperature"),
+        F.lit(None).cast("double").alias("humidity"),
+        (F.col("max(event_time)") + F.expr("interval 10001 days")).alias("event_time"),
+    )
+    end.write.mode("append").parquet(f"{folder}/readings")
+    write_stream(
+        windows, closed, checkpoint=f"{folder}/checkpoint", trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    found = averages_of(readings).select("*", F.struct(*bits.values()).alias("same"))
+    for other in (averages_of(turned), read_batch(spark, closed)):
+        again = other.select("window_start", F.struct(*bits.values()).alias("_bits"))
+        found = found.join(again, "window_start").withColumn(
+            "same", F.when(F.col("same") == F.col("_bits"), F.col("same"))
+        ).drop("_bits")
+    same = F.col("same").isNotNull().alias("same")
+    return _window_rows(found).join(
+        found.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), same),
+        "window_start",
+    )
+
+
 # -- rules ------------------------------------------------------------------
 
 
@@ -365,9 +407,75 @@ def alerts_stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def alerts_stream_separate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of three running queries; the rule of code 104 is added to the rule file
+    after the first half of the time."""
+    folder = work_folder(spark, "separate")
+    topic, found = FileEndpoint(f"{folder}/readings"), FileEndpoint(f"{folder}/alerts")
+    halves = _parts_in_time(_table(spark, sf_dir, "events"))
+    first = spark.createDataFrame(list(DEFAULT_RULES[:-1]), RULE_SCHEMA)
+    last = spark.createDataFrame(list(DEFAULT_RULES[-1:]), RULE_SCHEMA)
+    rules = _rule_file(spark, first)
+    write_batch(event_messages(halves[0]).select("key", "value"), topic)
+    queries = start_separate(
+        spark,
+        topic,
+        rules,
+        checkpoint=f"{folder}/checkpoint",
+        alerts_to=found,
+        alerts_shown=FileEndpoint(f"{folder}/shown"),
+        windows_shown=FileEndpoint(f"{folder}/windows", schema=WINDOW_SCHEMA),
+    )
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        last.write.mode("append").option("header", True).csv(rules)
+        write_batch(event_messages(halves[1]).select("key", "value"), topic)
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    return _alert_rows(decode_alerts(read_batch(spark, found)))
+
+
 # -- counts and reports -----------------------------------------------------
 
 
+def _counted_in_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Where a job that is started three times, with more alerts each time, counts them."""
+    folder = work_folder(spark, "ledger")
+    topic = FileEndpoint(f"{folder}/alerts", max_files=1)
+    alerts = _alerts(spark, sf_dir)
+    start = F.col("window.start").cast("timestamp").cast("long")
+    span = alerts.agg(F.min(start), F.max(start)).first()
+    for third in range(3):
+        low, high = (span[0] + (span[1] - span[0]) * part // 3 for part in (third, third + 1))
+        part = alerts.filter((start > low) | F.lit(third == 0)).filter(start <= high)
+        write_batch(encode_alerts(part.coalesce(1)), topic)
+        start_running_counts(
+            spark,
+            topic,
+            checkpoint=f"{folder}/checkpoint",
+            counted_to=f"{folder}/counted",
+            trigger=AVAILABLE_NOW,
+        ).awaitTermination()
+    return f"{folder}/counted"
+
+
+def alert_running_counts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each alert of a stream with the counts up to it, over batches and restarts."""
+    counted = spark.read.parquet(f"{_counted_in_batches(spark, sf_dir)}/alerts")
+    return counted.select(
+        F.col("window.start").alias("window_start"), "code", *KNOWN_CODES.values(), "total"
+    )
+
+
+def alert_counts_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts so far of such a job: its totals by batch, added up."""
+    return ledger_counts(spark, _counted_in_batches(spark, sf_dir))
+
+
 def alert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_code(_alerts(spark, sf_dir))
 
@@ -472,6 +580,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         alerts_stream,
         alerts_stream_restart,
         alerts_stream_two_sinks,
+        alerts_stream_separate,
+        averages_any_order,
+        alert_running_counts_stream,
+        alert_counts_ledger,
         alert_counts,
         alert_counts_row,
         alert_counts_stream,
@@ -605,6 +717,12 @@ SELECT window_start, code, concat_ws(chr(10),
   '🕐 Alert Time:  2024-02-01 00:00:00',
   repeat('=', 80)) AS report
 FROM alerts"""
+    running = f"""
+WITH {ALERTS_SQL}
+SELECT window_start, code, {RUNNING_SQL}
+FROM alerts
+WINDOW so_far AS (ORDER BY window_start, code
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     more = {}
     if llm is not None:
         more = llm.oracle_sql()
@@ -652,12 +770,18 @@ WHERE w.window_end {CLOSED_SQL}""",
         "alert_counts": counts,
         "alert_counts_row": f"WITH {ALERTS_SQL} SELECT {COUNTS_SQL} FROM alerts",
         "alert_counts_stream": counts,
-        "alert_running_counts": f"""
-WITH {ALERTS_SQL}
-SELECT window_start, code, {RUNNING_SQL}
-FROM alerts
-WINDOW so_far AS (ORDER BY window_start, code
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+        "alert_running_counts": running,
+        "alert_running_counts_stream": running,
+        "alert_counts_ledger": counts,
+        "averages_any_order": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL}".replace(
+            " FROM windows", ", true AS same FROM windows"
+        ),
+        # Windows closed by the first half's readings know three rules, later ones four.
+        "alerts_stream_separate": f"""
+{found} WHERE CAST(window_end AS TIMESTAMP) {CLOSED_SQL}
+AND (code <> '104' OR CAST(window_end AS TIMESTAMP) > (
+  SELECT max(ts) - INTERVAL 5 SECOND FROM events
+  WHERE 2 * epoch_us(ts) <= (SELECT min(epoch_us(ts)) + max(epoch_us(ts)) FROM events)))""",
         "alert_report": reports,
         "alert_reports_stream": reports,
         "alert_counts_replayed": counts,

@@ -1,5 +1,19 @@
 """Streaming jobs: the only place where queries are started and awaited."""
 
-from dewpoint.streaming.jobs import run, start_fan_out, start_monitor, start_separate
+from dewpoint.streaming.jobs import (
+    ledger_counts,
+    run,
+    start_fan_out,
+    start_monitor,
+    start_running_counts,
+    start_separate,
+)
 
-__all__ = ["run", "start_fan_out", "start_monitor", "start_separate"]
+__all__ = [
+    "ledger_counts",
+    "run",
+    "start_fan_out",
+    "start_monitor",
+    "start_running_counts",
+    "start_separate",
+]

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from dewpoint.operators import (
     counts_row,
@@ -17,9 +19,10 @@ from dewpoint.operators import (
     format_alerts,
     format_counts,
     load_rules,
+    running_counts,
 )
 from dewpoint.plans import alerts_of, windows_of
-from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
+from dewpoint.schemas import KNOWN_CODES, WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 from dewpoint.sources import (
     AVAILABLE_NOW,
     ConsoleEndpoint,
@@ -65,6 +68,8 @@ def start_fan_out(
                 return
             for sink in windows_to:
                 write_batch(closed, sink, batch_id)
+            if not alerts_to:
+                return
             # Matched once: all sinks get the same alerts, also if the file is edited.
             alerts = alerts_of(closed, load_rules(closed.sparkSession, rules_path), now)
             alerts.persist(StorageLevel.MEMORY_AND_DISK)
@@ -82,11 +87,7 @@ def start_fan_out(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(publish)
     )
-    if trigger == AVAILABLE_NOW:
-        writer = writer.trigger(availableNow=True)
-    elif trigger:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    return _triggered(writer, trigger).start()
 
 
 def start_separate(
@@ -97,6 +98,8 @@ def start_separate(
     checkpoint: str,
     alerts_to: KafkaEndpoint | FileEndpoint,
     console: ConsoleEndpoint = ConsoleEndpoint(),
+    alerts_shown: Endpoint | None = None,
+    windows_shown: Endpoint | None = None,
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
@@ -104,21 +107,104 @@ def start_separate(
 ) -> list[StreamingQuery]:
     """Three queries: alerts to a topic or files, alerts and windows to the console.
 
-    Each reads the input and keeps the state on its own; ``start_fan_out`` does not.
-    The rules are measured when the queries start.
+    Each reads the input and keeps the state on its own; ``start_fan_out`` does not. Like
+    there, the rules are read and measured in every micro-batch that closes windows, so a
+    rule added to the file later gives its alerts. ``alerts_shown`` and ``windows_shown``
+    replace the console, which keeps its own interval unless a ``trigger`` is given.
     """
-    windows = windows_of(
-        read_stream(spark, source), size=size, slide=slide, watermark=watermark
-    )
-    alerts = alerts_of(windows, load_rules(spark, rules_path))
     root = checkpoint.rstrip("/")
+
+    def start(name: str, **sinks: Sequence[Endpoint]) -> StreamingQuery:
+        (sink,) = [s for chosen in sinks.values() for s in chosen]
+        every = trigger or (sink.trigger if isinstance(sink, ConsoleEndpoint) else None)
+        return start_fan_out(
+            spark,
+            source,
+            rules_path,
+            checkpoint=f"{root}/{name}",
+            size=size,
+            slide=slide,
+            watermark=watermark,
+            trigger=every,
+            **({"alerts_to": ()} | sinks),
+        )
+
     return [
-        write_stream(
-            encode_alerts(alerts), alerts_to, checkpoint=f"{root}/alerts", trigger=trigger
-        ),
-        write_stream(alerts, console, checkpoint=f"{root}/alerts-console", trigger=trigger),
-        write_stream(windows, console, checkpoint=f"{root}/windows-console", trigger=trigger),
+        start("alerts", alerts_to=[alerts_to]),
+        start("alerts-console", alerts_to=[alerts_shown or console]),
+        start("windows-console", windows_to=[windows_shown or console]),
+    ]
+
+
+def start_running_counts(
+    spark: SparkSession,
+    source: KafkaEndpoint | FileEndpoint,
+    *,
+    checkpoint: str,
+    counted_to: str,
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Every alert of a stream with the counts per code and the total up to and including it.
+
+    Alerts are taken in order of their micro-batches, within a batch as ``running_counts``
+    takes them. A batch's alerts go to ``counted_to/alerts/batch_id=N`` with their counts,
+    its own totals, a row, to ``counted_to/totals/batch_id=N``. The counts start at the
+    totals of the batches before, so they go on after a restart, and a batch that is
+    delivered again replaces what it wrote. No state is kept per alert: the ledger of
+    totals has a row a batch, and their sum is the count of all alerts so far (see
+    ``ledger_counts``).
+    """
+    alerts = decode_alerts(read_stream(spark, source))
+    names = [*KNOWN_CODES.values(), "total"]
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            before = _totals(session, counted_to).filter(F.col("batch_id") < batch_id)
+            start = before.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]).first()
+            counted = running_counts(batch).withColumns(
+                {n: F.col(n) + F.lit(start[n]) for n in names}
+            )
+            counted.write.mode("overwrite").parquet(f"{counted_to}/alerts/batch_id={batch_id}")
+            # The totals come last: without them the batch has not been counted.
+            counts_row(batch).write.mode("overwrite").parquet(
+                f"{counted_to}/totals/batch_id={batch_id}"
+            )
+        finally:
+            batch.unpersist()
+
+    writer = alerts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
+    return _triggered(writer, trigger).start()
+
+
+def _totals(spark: SparkSession, counted_to: str) -> DataFrame:
+    schema = ", ".join(f"{name} long" for name in (*KNOWN_CODES.values(), "total", "batch_id"))
+    try:
+        return spark.read.schema(schema).parquet(f"{counted_to}/totals")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def ledger_counts(spark: SparkSession, counted_to: str) -> DataFrame:
+    """``code, alerts`` of all batches that ``start_running_counts`` has counted.
+
+    Adds up a row a batch; codes that no alert had are left out, as in ``count_by_code``.
+    """
+    sums = _totals(spark, counted_to).agg(*[F.sum(n).alias(n) for n in KNOWN_CODES.values()])
+    pairs = [
+        F.struct(F.lit(code).alias("code"), F.col(name).alias("alerts"))
+        for code, name in KNOWN_CODES.items()
     ]
+    return sums.select(F.inline(F.array(*pairs))).filter("alerts > 0")
+
+
+def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
+    if trigger == AVAILABLE_NOW:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=trigger) if trigger else writer
 
 
 def start_monitor(
@@ -166,11 +252,7 @@ def _start_texts(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: write_batch(batch, sink, batch_id))
     )
-    if trigger == AVAILABLE_NOW:
-        writer = writer.trigger(availableNow=True)
-    elif trigger:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    return _triggered(writer, trigger).start()
 
 
 def run(

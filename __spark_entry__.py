@@ -45,6 +45,7 @@ from dewpoint.sources import (
 )
 from dewpoint.streaming import (
     ledger_counts,
+    open_windows as windows_in_state,
     start_fan_out,
     start_monitor,
     start_running_counts,
@@ -226,6 +227,19 @@ def _parts_in_time(events: DataFrame) -> list[DataFrame]:
     return [dealt.filter(part).drop("_middle") for part in (~later, later)]
 
 
+def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that the stream of ``sliding_averages_stream`` has still open at its
+    end, from its state."""
+    folder = work_folder(spark, "open")
+    events = FileEndpoint(f"{sf_dir}/{{events}}.parquet", schema=EVENTS_SCHEMA)
+    closed = FileEndpoint(f"{folder}/closed", schema=WINDOW_SCHEMA)
+    windows = averages_of(event_readings(read_stream(spark, events)))
+    write_stream(
+        windows, closed, checkpoint=f"{folder}/checkpoint", trigger=AVAILABLE_NOW
+    ).awaitTermination()
+    return _window_rows(windows_in_state(spark, f"{folder}/checkpoint"))
+
+
 def averages_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed windows, and whether their averages are the same to the last bit from the
     table as it is, from its readings in another order and other partitions, and from a
@@ -582,6 +596,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         alerts_stream_two_sinks,
         alerts_stream_separate,
         averages_any_order,
+        open_windows,
         alert_running_counts_stream,
         alert_counts_ledger,
         alert_counts,
@@ -746,6 +761,8 @@ UNION ALL SELECT 'html', count(*), 0, 0, 0 FROM pages""",
         "sliding_averages_stream": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
         f"WHERE window_end {CLOSED_SQL}",
         "late_readings_stream": LATE_SQL,
+        "open_windows": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
+        f"WHERE window_end {CLOSED_SQL.replace('<=', '>')}",
         "rules_clean": PART_RULES_SQL,
         "alerts": found,
         "alerts_from_messages": found,

@@ -13,6 +13,9 @@ from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 
 # The measures and their columns in a reading.
 MEASURES = {"t": "temperature", "h": "humidity"}
+# Of a window and two exponent groups: per measure three parts of the sum, and its values.
+GROUPS = tuple(f"{m}_group" for m in MEASURES)
+SUMS = tuple(f"{m}_{i}" for m in MEASURES for i in (0, 1, 2, "n"))
 
 
 def sliding_averages(
@@ -45,11 +48,16 @@ def sliding_averages(
     measured = _in_units(readings)
     if readings.isStreaming:
         window = F.window("event_time", size, slide)
-        summed = measured.withWatermark("event_time", watermark).groupBy(
-            window, *[f"{m}_group" for m in MEASURES]
-        ).agg(*_sums_of_units())
+        timed = measured.withWatermark("event_time", watermark)
+        summed = timed.groupBy(window, *GROUPS).agg(*_sums_of_units())
     else:
         summed = _summed_from_panes(measured, size, slide)
+    return averages_of_sums(summed)
+
+
+def averages_of_sums(summed: DataFrame) -> DataFrame:
+    """Windows from sums by exponent group: ``window`` and the columns of ``GROUPS`` and
+    ``SUMS``."""
     sums = [
         F.struct(
             F.collect_list(
@@ -109,19 +117,17 @@ def _sums_of_units() -> list[Column]:
 
 def _summed_from_panes(measured: DataFrame, size: str, slide: str) -> DataFrame:
     pane = f"{gcd(*_micros(measured.sparkSession, size, slide))} microseconds"
-    groups = [f"{m}_group" for m in MEASURES]
-    sums = [f"{m}_{i}" for m in MEASURES for i in (0, 1, 2, "n")]
     panes = (
-        measured.groupBy(F.window("event_time", pane).alias("pane"), *groups)
+        measured.groupBy(F.window("event_time", pane).alias("pane"), *GROUPS)
         .agg(*_sums_of_units())
-        .select(F.col("pane.start").alias("pane_start"), *groups, *sums)
+        .select(F.col("pane.start").alias("pane_start"), *GROUPS, *SUMS)
     )
     # Dealt by window once, for this aggregate and the next.
-    spread = panes.select(F.window("pane_start", size, slide).alias("window"), *groups, *sums)
+    spread = panes.select(F.window("pane_start", size, slide).alias("window"), *GROUPS, *SUMS)
     return (
         spread.repartition("window")
-        .groupBy("window", *groups)
-        .agg(*[F.sum(c).alias(c) for c in sums])
+        .groupBy("window", *GROUPS)
+        .agg(*[F.sum(c).alias(c) for c in SUMS])
     )
 
 

@@ -8,9 +8,11 @@ from dewpoint.streaming.jobs import (
     start_running_counts,
     start_separate,
 )
+from dewpoint.streaming.state import open_windows
 
 __all__ = [
     "ledger_counts",
+    "open_windows",
     "run",
     "start_fan_out",
     "start_monitor",

@@ -19,7 +19,7 @@ from dewpoint.operators import (
     shape_alerts,
     sliding_averages,
 )
-from dewpoint.schemas import ENVELOPE_SCHEMA, WINDOW_SCHEMA
+from dewpoint.schemas import ALERT_SCHEMA, ENVELOPE_SCHEMA, WINDOW_SCHEMA
 from dewpoint.sources import (
     AVAILABLE_NOW,
     ConsoleEndpoint,
@@ -29,7 +29,15 @@ from dewpoint.sources import (
     write_batch,
     write_stream,
 )
-from dewpoint.streaming import run, start_fan_out, start_monitor, start_separate
+from dewpoint.streaming import (
+    ledger_counts,
+    open_windows,
+    run,
+    start_fan_out,
+    start_monitor,
+    start_running_counts,
+    start_separate,
+)
 
 LOCAL = (
     "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2 "
@@ -403,3 +411,60 @@ def test_run_with_timeout(spark, tmp_path):
     assert run(spark, [query], timeout=3) is False
     assert time.time() - started < 60 and not query.isActive
     assert read_batch(spark, FileEndpoint(str(tmp_path / "out"))).schema == ENVELOPE_SCHEMA
+
+
+def test_running_counts_after_a_batch_is_delivered_again(spark, tmp_path):
+    """The last batch is forgotten by the checkpoint, but not by the ledger."""
+    folder = FileEndpoint(str(tmp_path / "alerts"), max_files=1)
+    checkpoint, counted = tmp_path / "checkpoint", str(tmp_path / "counted")
+
+    def count():
+        start_running_counts(
+            spark, folder, checkpoint=str(checkpoint), counted_to=counted, trigger=AVAILABLE_NOW
+        ).awaitTermination()
+
+    def send(minute, *codes):
+        rows = [((f"2024-01-01 00:0{minute}:00", "x"), 1.0, 2.0, c, "m", "t") for c in codes]
+        write_batch(encode_alerts(spark.createDataFrame(rows, ALERT_SCHEMA).coalesce(1)), folder)
+
+    def totals():
+        rows = spark.read.parquet(f"{counted}/alerts").select("window.start", "code", "too_dry", "total")
+        return sorted(map(tuple, rows.collect()), key=str)
+
+    assert ledger_counts(spark, counted).collect() == []
+    send(1, "101", "104", "999")
+    count()
+    send(2, "101", None, "101")
+    count()
+    once = totals()
+    assert [t[2:] for t in once if t[1] == "101"] == [(1, 1), (2, 3), (3, 4)]
+    assert len(once) == 6
+    for name in ("1", ".1.crc"):
+        (checkpoint / "commits" / name).unlink(missing_ok=True)
+    count()
+    assert totals() == once
+    send(3, "104")
+    count()
+    assert {tuple(r) for r in ledger_counts(spark, counted).collect()} == {("101", 3), ("104", 2)}
+    assert max(t[3] for t in totals()) == 5
+
+
+def test_open_windows_between_batches(spark, topic, tmp_path):
+    checkpoint, closed = str(tmp_path / "c"), FileEndpoint(str(tmp_path / "w"), schema=WINDOW_SCHEMA)
+
+    def go_on():
+        windows = sliding_averages(decode_readings(topic.messages(spark)))
+        write_stream(windows, closed, checkpoint=checkpoint, trigger=AVAILABLE_NOW).awaitTermination()
+        return {
+            (r.at, r.t_avg)
+            for r in open_windows(spark, checkpoint)
+            .select(F.date_format("window_start", "HH:mm:ss").alias("at"), "t_avg")
+            .collect()
+        }
+
+    topic.send((0, 10), (5, 20))
+    assert go_on() == {("11:59:40", 15.0), ("11:59:50", 15.0), ("12:00:00", 15.0)}
+    topic.send((35, 50), (36, 1e300), (37, -1e300))
+    assert go_on() == {("12:00:10", 50 / 3), ("12:00:20", 50 / 3), ("12:00:30", 50 / 3)}
+    with pytest.raises(Exception):
+        open_windows(spark, str(tmp_path / "nothing"))

@@ -12,8 +12,12 @@ from dewpoint.functions import in_range
 from dewpoint.schemas import BOUND_COLUMNS
 
 # What the filed rules may take when they are broadcast; beyond it they are merge-joined.
-BROADCAST_BYTES = 16 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
+# So many crowded cells are broadcast; beyond it they are joined by a shuffle.
+BROADCAST_CELLS = 100_000
 MEASURES = {"temperature": "t_avg", "humidity": "h_avg"}
+LEVELS = [f"_{m}_level" for m in MEASURES]
+CELLS = [f"_{m}_cell" for m in MEASURES]
 
 
 def match_rules(
@@ -29,44 +33,53 @@ def match_rules(
     One equi-join for every rule table. Each measure is cut into ``2 ** levels`` bins at
     quantiles of the rules' bounds; a value's bin is the number of edges that are not above
     it, so bins keep the order of all doubles, infinities and NaN included. Bins nest into
-    cells of twice the length per level, and a rule is filed in the at most
-    ``2 * levels`` cells that make up its range, under the measure of whose bins it takes the
-    smaller share. A window looks in its cell of every level that is used, so it meets a
-    rule once; the exact test follows. The rules of a cell that holds more than ``crowded`` of them
-    are dealt to several parts, and the windows of that cell look in each.
+    cells of twice the length per level. A rule is filed by both measures at once: at the
+    level of each whose cells have a quarter to half the length of its range, in every
+    rectangle of two cells that meets its ranges, 25 at most. A measure without bounds is
+    one cell at the level above all. A window looks in its rectangle for every pair of
+    levels that is used, so it meets a rule once, and about half of the rules it meets fit;
+    the exact test follows. The rules of a rectangle that holds more than ``crowded`` of
+    them are dealt to several parts, and the windows of that rectangle look in each.
 
     The rules are measured first: one aggregate for the edges and the longest rule, one for
-    the cells, whose results are bounded by the number of cells. If the filed rules take at
-    most ``broadcast_bytes`` they are broadcast, else merge-joined: the same join with the
-    same rows.
+    the pairs of levels, of which there are ``(levels + 1) ** 2`` at most. If the filed
+    rules take at most ``broadcast_bytes`` they are broadcast, else merge-joined: the same
+    join with the same rows.
     """
     edges, longest = _edges(rules, levels)
     filed = _filed(rules, edges, levels)
-    cells = filed.groupBy("_measure", "_level", "_cell").agg(F.count(F.lit(1)).alias("n"))
-    measured = cells.withColumn(
-        "_parts", F.ceil(F.col("n") / crowded).cast("int")
-    ).groupBy("_measure", "_level").agg(
-        F.sum("n").alias("n"),
-        F.map_from_entries(
-            F.collect_list(F.when(F.col("n") > crowded, F.struct("_cell", "_parts")))
-        ).alias("parts"),
-    ).collect()
+    cells = filed.groupBy(*LEVELS, *CELLS).agg(F.count(F.lit(1)).alias("_n"))
+    measured = (
+        cells.groupBy(*LEVELS)
+        .agg(F.sum("_n").alias("n"), F.count_if(F.col("_n") > crowded).alias("crowded"))
+        .collect()
+    )
     if not measured:
         none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rules.schema.fields]
         return windows.filter(F.lit(False)).select(*windows.columns, *none)
-    dealt = filed.withColumn(
-        "_part", F.pmod(F.xxhash64(*rules.columns), _parts(measured)).cast("int")
-    )
-    keys = ["_measure", "_level", "_cell", "_part"]
     bins = F.struct(*[_bin(F.col(c), edges[m]).alias(f"_{m}") for m, c in MEASURES.items()])
     looking = (
         windows.select(*windows.columns, F.inline(F.array(bins)))
-        .select(*windows.columns, F.inline(_places(measured)))
-        .filter(F.col("_cell").isNotNull())
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), _parts(measured) - 1)))
+        .select(*windows.columns, F.inline(_places(measured, levels)))
+        .filter(" AND ".join(f"{c} IS NOT NULL" for c in CELLS))
     )
+    keys = [*LEVELS, *CELLS]
+    many = sum(row["crowded"] for row in measured)
+    if many:
+        parts = cells.filter(F.col("_n") > crowded).select(
+            *keys, F.ceil(F.col("_n") / crowded).cast("int").alias("_parts")
+        )
+        parts = F.broadcast(parts) if many <= BROADCAST_CELLS else parts.hint("merge")
+        number = F.coalesce("_parts", F.lit(1))
+        filed = filed.join(parts, keys, "left").withColumn(
+            "_part", F.pmod(F.xxhash64(*rules.columns), number).cast("int")
+        ).drop("_parts")
+        looking = looking.join(parts, keys, "left").withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), number - 1))
+        ).drop("_parts")
+        keys = [*keys, "_part"]
     size = longest * sum(row["n"] for row in measured)
-    hinted = F.broadcast(dealt) if size <= broadcast_bytes else dealt.hint("merge")
+    hinted = F.broadcast(filed) if size <= broadcast_bytes else filed.hint("merge")
     return looking.join(hinted, keys, "inner").filter(_contains()).drop(*keys)
 
 
@@ -122,92 +135,62 @@ def _bin(value: Column, edges: list[float]) -> Column:
 
 
 def _filed(rules: DataFrame, edges: dict[str, list[float]], levels: int) -> DataFrame:
-    """Rules with ``_measure, _level, _cell``, a row for each cell of their range.
+    """Rules with their levels and cells, a row for each rectangle that meets their ranges.
 
-    A rule without bounds is filed once under "any"; crossed bounds never match.
+    A rule with crossed bounds never matches and is left out.
     """
-    last = 2**levels - 1
-    # Generators keep the bins from being computed again at every use.
+    # Generators keep the bins and levels from being computed again at every use.
     ends = F.struct(
         *[
             F.coalesce(_bin(F.col(f"{m}_{side}"), edges[m]), F.lit(open_end)).alias(f"_{m}_{side}")
             for m in MEASURES
-            for side, open_end in (("min", 0), ("max", last))
+            for side, open_end in (("min", 0), ("max", len(edges[m])))
         ]
     )
-    bounded = {m: F.col(f"{m}_min").isNotNull() | F.col(f"{m}_max").isNotNull() for m in MEASURES}
-    spread = {
-        m: F.when(
-            bounded[m],
-            (F.least(F.col(f"_{m}_max"), F.lit(len(edges[m]))) - F.col(f"_{m}_min") + 1)
-            / F.lit(len(edges[m]) + 1.0),
-        ).otherwise(F.lit(2.0))
-        for m in MEASURES
-    }
-
-    def under(measure: str, first: Column, to: Column) -> Column:
-        return F.struct(F.lit(measure).alias("_measure"), first.alias("_first"), to.alias("_last"))
-
-    by_measure = {m: under(m, F.col(f"_{m}_min"), F.col(f"_{m}_max")) for m in MEASURES}
-    place = (
-        F.when(
-            ~bounded["temperature"] & ~bounded["humidity"], under("any", F.lit(0), F.lit(0))
-        )
-        .when(spread["temperature"] <= spread["humidity"], by_measure["temperature"])
-        .otherwise(by_measure["humidity"])
-    )
+
+    def level(m: str) -> Column:
+        length = F.col(f"_{m}_max") - F.col(f"_{m}_min") + 1
+        # The last level whose cells have half the length at most.
+        halves = F.array(*[F.lit(2 * 2**k) for k in range(1, levels)])
+        fits = F.size(F.filter(halves, lambda h: h <= length))
+        unbounded = F.col(f"{m}_min").isNull() & F.col(f"{m}_max").isNull()
+        return F.when(unbounded, F.lit(levels)).otherwise(fits).alias(f"_{m}_level")
+
     placed = (
         rules.select(*rules.columns, F.inline(F.array(ends)))
-        .select(*rules.columns, F.inline(F.array(place)))
-        .filter("_first <= _last")
-    )
-    cells = []
-    for level in range(levels + 1):
-        low = F.shiftright(F.col("_first") + (2**level - 1), level)
-        high = F.shiftright(F.col("_last") + 1, level)
-        for cell, odd in ((low, low % 2 == 1), (high - 1, high % 2 == 1)):
-            here = F.struct(F.lit(level).alias("_level"), cell.alias("_cell"))
-            cells.append(F.when((low < high) & odd, here))
-    return placed.select(
-        *rules.columns,
-        "_measure",
-        F.inline(F.filter(F.array(*cells), lambda c: c.isNotNull())),
+        .filter(" AND ".join(f"_{m}_min <= _{m}_max" for m in MEASURES))
+        .select("*", F.inline(F.array(F.struct(*map(level, MEASURES)))))
     )
+    for m in MEASURES:
+        first, to = (
+            F.call_function("shiftright", F.col(f"_{m}_{side}"), F.col(f"_{m}_level"))
+            for side in ("min", "max")
+        )
+        placed = placed.withColumn(f"_{m}_cell", F.explode(F.sequence(first, to)))
+    return placed.select(*rules.columns, *LEVELS, *CELLS)
+
+
+def _places(measured: list[Row], levels: int) -> Column:
+    """The rectangles a window looks in: one for each pair of levels that holds rules.
+
+    A null value is in no cell but that of rules without bounds.
+    """
 
+    def cell(m: str, level: int) -> Column:
+        return F.lit(0) if level == levels else F.shiftright(F.col(f"_{m}"), level)
 
-def _places(measured: list[Row]) -> Column:
-    """The cells a window looks in: one for each measure and level that holds rules."""
     places = []
-    for row in sorted(measured, key=lambda r: (r["_measure"], r["_level"])):
-        level = row["_level"]
-        if row["_measure"] == "any":
-            cell = F.lit(0)
-        else:
-            cell = F.shiftright(F.col(f"_{row['_measure']}"), level)
+    for row in sorted(measured, key=lambda r: [r[c] for c in LEVELS]):
+        pair = {m: row[f"_{m}_level"] for m in MEASURES}
         places.append(
             F.struct(
-                F.lit(row["_measure"]).alias("_measure"),
-                F.lit(level).alias("_level"),
-                cell.alias("_cell"),
+                *[F.lit(level).alias(f"_{m}_level") for m, level in pair.items()],
+                *[cell(m, level).cast("int").alias(f"_{m}_cell") for m, level in pair.items()],
             )
         )
     return F.array(*places)
 
 
-def _parts(measured: list[Row]) -> Column:
-    """Into how many parts the rules of a row's cell are dealt."""
-    parts = F.lit(1)
-    for row in measured:
-        for cell, number in (row["parts"] or {}).items():
-            here = (
-                (F.col("_measure") == row["_measure"])
-                & (F.col("_level") == row["_level"])
-                & (F.col("_cell") == cell)
-            )
-            parts = F.when(here, F.lit(number)).otherwise(parts)
-    return parts
-
-
 def shape_alerts(matches: DataFrame, now: Column | datetime | None = None) -> DataFrame:
     """Matches to alerts: window as text, averages, code, message and alert time.
 

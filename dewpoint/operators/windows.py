@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache
 from math import gcd
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,8 +74,7 @@ def averages_of_sums(summed: DataFrame) -> DataFrame:
         )
         for m in MEASURES
     ]
-    # One expression for all measures: it is long.
-    averages = F.transform("sums", lambda s: exact_average(s["sums"], s["n"]))
+    averages = _averages(summed.sparkSession.sparkContext)
     return (
         summed.groupBy("window")
         .agg(F.array(*sums).alias("sums"))
@@ -87,6 +87,13 @@ def averages_of_sums(summed: DataFrame) -> DataFrame:
     )
 
 
+@cache
+def _averages(context: SparkContext) -> Column:
+    """The averages of all measures in one expression: it is long, and takes longer to put
+    together than to run on a small table."""
+    return F.transform("sums", lambda s: exact_average(s["sums"], s["n"]))
+
+
 def _in_units(readings: DataFrame) -> DataFrame:
     """Readings as event time, and per measure its exponent group and units.
 
@@ -132,12 +139,13 @@ def _summed_from_panes(measured: DataFrame, size: str, slide: str) -> DataFrame:
 
 
 def _micros(spark: SparkSession, *durations: str) -> list[int]:
-    """Durations in microseconds, read by Spark itself: the lengths of their windows."""
-    lengths = []
-    for duration in durations:
-        window = F.window(F.timestamp_seconds(F.lit(0)), duration)
-        row = spark.range(1).select(window.alias("window"))
-        lengths.append(
-            row.select(F.unix_micros(F.col("window.end")) - F.unix_micros(F.col("window.start")))
-        )
-    return [row[0] for row in reduce(DataFrame.unionAll, lengths).collect()]
+    """Durations in microseconds, read by Spark itself; a constant, for which no job runs."""
+    lengths = [
+        f"unix_micros(timestamp_seconds(0) + CAST(:d{i} AS INTERVAL))"
+        for i in range(len(durations))
+    ]
+    args = {f"d{i}": duration for i, duration in enumerate(durations)}
+    micros = list(spark.sql(f"SELECT {', '.join(lengths)}", args=args).first())
+    if None in micros:
+        raise ValueError(f"not a duration among {durations}")
+    return micros

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dewpoint.llm.common import kept
+from dewpoint.llm.common import BROADCAST_ROWS, kept
 
 PACKED = "block int, ids binary, given binary, parts binary, width int, n int"
 
@@ -55,11 +55,11 @@ def top_k(
     The dimensions are split into ``parts``, each of which scores on its own; a score is
     the sum of the local ones. Per block of queries and block of rows:
 
-    1. every part lists its local k best; their exact scores over all blocks give each
-       query a cutoff that at least k rows reach;
+    1. every part lists its local k best, and these alone are completed: their exact scores
+       over all blocks give each query a cutoff that at least k rows reach;
     2. the cutoff goes to all blocks, and each part collects every row with a local score
        of at least cutoff / parts, since a row below that in all parts cannot reach it;
-    3. the scores of the collected rows are completed exactly and the best k are kept.
+    3. only the scores of the collected rows are completed, and the best k are kept.
 
     Blocks are matrices of bounded size, so a task holds one pair of them. Local scores
     are recomputed in the second phase rather than stored: they are as many as pairs.
@@ -98,7 +98,7 @@ def top_k(
     def sufficient(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
             for row in frame.itertuples():
-                yield _gather(row, k, parts, row.cutoffs)
+                yield _gather(row, k, parts, () if row.cutoffs is None else row.cutoffs)
 
     resolved = (
         pairs.join(cutoffs, "q_block", "left").mapInPandas(sufficient, found).distinct()
@@ -159,11 +159,12 @@ def _packed(vectors: DataFrame, block_rows: int) -> DataFrame:
 
     blocked = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "vector", key.alias("block"))
     packed = kept(blocked.groupBy("block").applyInPandas(pack, PACKED))
-    if blocks == 1:
-        return packed
-    # Hash bins may be empty; numbers without gaps keep the pairing complete.
-    order = Window.orderBy("block")  # one row per block
-    return kept(packed.withColumn("block", F.row_number().over(order) - 1))
+    # Hash bins may be empty; numbers without gaps keep the pairing complete. Only the
+    # numbers meet in one task, the matrices are joined to them.
+    order = Window.orderBy("block")
+    numbers = packed.select("block").withColumn("_number", F.row_number().over(order) - 1)
+    numbered = packed.join(F.broadcast(numbers) if blocks <= BROADCAST_ROWS else numbers, "block")
+    return kept(numbered.withColumn("block", F.col("_number")).drop("_number"))
 
 
 def _matrix(data: bytes, n: int, width: int) -> np.ndarray:
@@ -184,53 +185,71 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(object) @ b.astype(object).T
 
 
+def _completed(q: np.ndarray, x: np.ndarray, at: np.ndarray, hit: np.ndarray) -> list[int]:
+    """Exact inner products of the rows ``at`` of ``q`` with the rows ``hit`` of ``x``."""
+    largest = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(
+        np.abs(x.astype(np.float64)).max(initial=0)
+    )
+    kind = np.int64 if largest * max(1, q.shape[1]) < 2.0**62 else object
+    scores: list[int] = []
+    for a in range(0, len(at), 65_536):
+        one, other = q[at[a : a + 65_536]].astype(kind), x[hit[a : a + 65_536]].astype(kind)
+        scores += (one * other).sum(axis=1).tolist()
+    return scores
+
+
 def _gather(row, k: int, parts: int, cutoffs) -> pd.DataFrame:
     """Candidates of one pair of blocks with their exact scores.
 
     Without ``cutoffs`` the k best of every part; with them every row that reaches its
-    query's cutoff / parts in some part (all rows for a query without a cutoff).
+    query's cutoff / parts in some part (all rows for a query without a cutoff). Scores
+    over all parts are computed for these rows only.
     """
     q, x = _matrix(row.q_parts, row.q_n, row.q_width), _matrix(row.parts, row.n, row.width)
     width = min(q.shape[1], x.shape[1])
+    q, x = q[:, :width], x[:, :width]
     q_ids = np.frombuffer(row.q_ids, dtype=np.int64)
     ids = np.frombuffer(row.ids, dtype=np.int64)
     given = np.frombuffer(row.given, dtype=bool)
     edges = [width * p // parts for p in range(parts + 1)]
-    local = [_products(q[:, a:b], x[:, a:b]) for a, b in zip(edges, edges[1:])]
-    score = sum(local)
+    spans = [slice(a, b) for a, b in zip(edges, edges[1:])]
     own = (q_ids[:, None] == ids[None, :]) & given[None, :]
     chosen = np.zeros(own.shape, dtype=bool)
-    if cutoffs is None:
-        if row.n <= k + 1:
-            chosen[:] = True
-        else:
-            line = np.arange(row.q_n)[:, None]
-            for part in local:
-                if part.dtype == object:
-                    best = np.argsort(-part, axis=1, kind="stable")[:, : k + 1]
-                else:
-                    best = np.argpartition(-part, k, axis=1)[:, : k + 1]
-                chosen[line, best] = True
+    if cutoffs is None and row.n <= k + 1:
+        chosen[:] = True
+    elif cutoffs is None:
+        line = np.arange(row.q_n)[:, None]
+        for span in spans:
+            part = _products(q[:, span], x[:, span])
+            if part.dtype == object:
+                best = np.argsort(-part, axis=1, kind="stable")[:, : k + 1]
+            else:
+                best = np.argpartition(-part, k, axis=1)[:, : k + 1]
+            chosen[line, best] = True
     else:
         # Scores are whole numbers, so comparing parts * local with the cutoff is exact.
         cut = np.full(row.q_n, None, dtype=object)
-        for item in cutoffs if cutoffs is not None else []:
+        for item in cutoffs:
             cut[item["query_no"]] = int(item["score"])
         open_ = np.array([c is None for c in cut])
-        limit = np.array([0 if c is None else c for c in cut], dtype=local[0].dtype)
-        for part in local:
-            chosen |= part * parts >= limit[:, None]
+        limit = np.array([0 if c is None else c for c in cut], dtype=object)
+        for span in spans:
+            part = _products(q[:, span], x[:, span])
+            chosen |= part * parts >= limit.astype(part.dtype)[:, None]
         chosen[open_] = True
-        chosen &= (score >= limit[:, None]) | open_[:, None]
     chosen &= ~own
     at, hit = np.nonzero(chosen)
+    scores = np.array(_completed(q, x, at, hit), dtype=object)
+    if cutoffs is not None and len(at):
+        reached = (scores >= limit[at]) | open_[at]
+        at, hit, scores = at[reached], hit[reached], scores[reached]
     return pd.DataFrame(
         {
             "query_id": q_ids[at],
             "query_no": at.astype(np.int32),
             "q_block": np.full(len(at), row.q_block, dtype=np.int32),
             "vec_id": pd.Series(ids[hit], dtype="Int64").mask(~given[hit]),
-            "score": pd.Series([int(v) for v in score[at, hit]], dtype=object).map(_decimal),
+            "score": pd.Series(scores, dtype=object).map(_decimal),
         }
     )
 

@@ -67,7 +67,7 @@ def apply_mix(
         keyed,
         limits.select(
             F.col("source").alias("_source_"),
-            F.struct("copies", "threshold", "at_threshold").alias("_limit_"),
+            F.struct("copies", "rest", "threshold", "at_threshold").alias("_limit_"),
         ),
         ["_source_"],
         n,
@@ -100,7 +100,8 @@ def _limits(
 
 def _copies(hash_: Column, prefix: str = "") -> Column:
     threshold, at = F.col(f"{prefix}threshold"), F.col(f"{prefix}at_threshold")
-    once_more = (hash_ < threshold) | ((hash_ == threshold) & at)
+    # Without a rest nothing is taken once more, texts without words neither.
+    once_more = (F.col(f"{prefix}rest") > 0) & ((hash_ < threshold) | ((hash_ == threshold) & at))
     return (F.col(f"{prefix}copies") + F.when(once_more, 1).otherwise(0)).cast("long")
 
 

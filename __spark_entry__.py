@@ -44,12 +44,15 @@ from dewpoint.sources import (
     write_stream,
 )
 from dewpoint.streaming import (
+    BatchMeasurements,
     ledger_counts,
     open_windows as windows_in_state,
+    read_measurements,
     start_fan_out,
     start_monitor,
     start_running_counts,
     start_separate,
+    supervise,
 )
 
 # The queries for training data come with a subpackage that may be absent.
@@ -136,6 +139,17 @@ def unkeyed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _badly_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_readings(
+        _readings(spark, sf_dir).select(
+            F.col("sensor_id").alias("id"),
+            "temperature",
+            "humidity",
+            F.concat(F.lit("day "), F.col("event_time").cast("string")).alias("timestamp"),
+        )
+    )
+
+
 def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What survives of good readings, readings with unreadable times, JSON of
     another kind, prose and HTML."""
@@ -145,14 +159,7 @@ def malformed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = F.col(column).alias("value")
         return _table(spark, sf_dir, table).select(text, no_time.alias("timestamp"))
 
-    badly_timed = encode_readings(
-        _readings(spark, sf_dir).select(
-            F.col("sensor_id").alias("id"),
-            "temperature",
-            "humidity",
-            F.concat(F.lit("day "), F.col("event_time").cast("string")).alias("timestamp"),
-        )
-    )
+    badly_timed = _badly_timed(spark, sf_dir)
     messages = {
         "readings": _messages(spark, sf_dir),
         "badly timed": badly_timed.withColumn("timestamp", no_time),
@@ -227,6 +234,35 @@ def _parts_in_time(events: DataFrame) -> list[DataFrame]:
     return [dealt.filter(part).drop("_middle") for part in (~later, later)]
 
 
+def stream_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a job measures by micro-batch, added up: its input is that of
+    ``late_readings_stream``, and after the first half come page texts and readings with an
+    unreadable time."""
+    folder = work_folder(spark, "measured")
+    topic = FileEndpoint(f"{folder}/readings")
+    events = _table(spark, sf_dir, "events")
+    clicks = F.col("event_type").eqNullSafe("click")
+    first, second = (event_messages(p) for p in _parts_in_time(events.filter(~clicks)))
+    html = _table(spark, sf_dir, "pages").select(F.lit(None).alias("key"), F.col("html").alias("value"))
+    for part in (first.select("key", "value").union(html).union(_badly_timed(spark, sf_dir)),
+                 second, event_messages(events.filter(clicks))):
+        write_batch(part.select("key", "value"), topic)
+        measurements = BatchMeasurements(spark, f"{folder}/checkpoint", f"{folder}/measured")
+        measurements.start(
+            lambda: write_stream(
+                windows_of(read_stream(spark, topic), measured=True),
+                FileEndpoint(f"{folder}/closed", schema=WINDOW_SCHEMA),
+                checkpoint=f"{folder}/checkpoint",
+                trigger=AVAILABLE_NOW,
+            )
+        ).awaitTermination()
+        if not measurements.wait(600):
+            raise RuntimeError("no report of the last batch")
+    counts = ("messages", "unreadable", "untimed", "window_readings", "closed_readings", "late_readings")
+    found = read_measurements(spark, f"{folder}/measured")
+    return found.agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows that the stream of ``sliding_averages_stream`` has still open at its
     end, from its state."""
@@ -453,6 +489,40 @@ def alerts_stream_separate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_rows(decode_alerts(read_batch(spark, found)))
 
 
+def alerts_stream_supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of three queries with an interval, and whether each was also shown.
+
+    The sink of the shown ones fails at the first start, which stops all three; they are
+    started again and run until none has more to read."""
+    folder = work_folder(spark, "supervised")
+    topic, found = FileEndpoint(f"{folder}/readings"), FileEndpoint(f"{folder}/alerts")
+    shown = FileEndpoint(f"{folder}/shown")
+    broken = FileEndpoint(f"{folder}/shown", format="no such format")
+    rules = _rule_file(spark, spark.createDataFrame(list(DEFAULT_RULES), RULE_SCHEMA))
+    write_batch(_messages(spark, sf_dir).select("key", "value"), topic)
+    sinks = iter([broken])
+
+    supervise(
+        spark,
+        lambda: start_separate(
+            spark,
+            topic,
+            rules,
+            checkpoint=f"{folder}/checkpoint",
+            alerts_to=found,
+            alerts_shown=next(sinks, shown),
+            windows_shown=FileEndpoint(f"{folder}/windows", schema=WINDOW_SCHEMA),
+            trigger="1 second",
+        ),
+        until_idle=True,
+    )
+    written, again = (_alert_rows(decode_alerts(read_batch(spark, s))) for s in (found, shown))
+    times = again.groupBy("window_start", "code").agg(F.count(F.lit(1)).alias("times_shown"))
+    return written.join(times, ["window_start", "code"], "full").select(
+        *written.columns, "times_shown"
+    )
+
+
 # -- counts and reports -----------------------------------------------------
 
 
@@ -595,7 +665,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         alerts_stream_restart,
         alerts_stream_two_sinks,
         alerts_stream_separate,
+        alerts_stream_supervised,
         averages_any_order,
+        stream_measurements,
         open_windows,
         alert_running_counts_stream,
         alert_counts_ledger,
@@ -659,6 +731,27 @@ WHERE NOT late OR late_from IS NULL OR window_start + INTERVAL 30 SECOND > late_
 GROUP BY window_start
 HAVING window_start + INTERVAL 30 SECOND {CLOSED_SQL}"""
 
+# The same, with a page's text for each page and an unreadable time for each event beside.
+MEASURED_SQL = f"""
+WITH spread AS (
+  SELECT make_timestamp((epoch_us(ts) // 10000000) * 10000000 - back * 1000000)
+           + INTERVAL 30 SECOND AS window_end,
+         event_type IS NOT DISTINCT FROM 'click' AS late
+  FROM (SELECT *, unnest([0, 10, 20]) AS back FROM events WHERE ts IS NOT NULL)),
+closing AS (
+  SELECT max(ts) FILTER (WHERE event_type IS DISTINCT FROM 'click') - INTERVAL 5 SECOND
+    AS late_from
+  FROM events),
+judged AS (
+  SELECT window_end, coalesce(late AND window_end <= late_from, false) AS dropped
+  FROM spread, closing)
+SELECT CAST((SELECT count(*) FROM events) * 2 + (SELECT count(*) FROM pages) AS BIGINT) AS messages,
+       (SELECT count(*) FROM pages) AS unreadable, (SELECT count(*) FROM events) AS untimed,
+       count(*) AS window_readings,
+       count(*) FILTER (WHERE NOT dropped AND window_end {CLOSED_SQL}) AS closed_readings,
+       count(*) FILTER (WHERE dropped) AS late_readings
+FROM judged"""
+
 RULES_SQL = """
 rules AS (
   SELECT * FROM (VALUES
@@ -761,6 +854,7 @@ UNION ALL SELECT 'html', count(*), 0, 0, 0 FROM pages""",
         "sliding_averages_stream": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
         f"WHERE window_end {CLOSED_SQL}",
         "late_readings_stream": LATE_SQL,
+        "stream_measurements": MEASURED_SQL,
         "open_windows": f"WITH {_windows_sql()} {WINDOW_ROWS_SQL} "
         f"WHERE window_end {CLOSED_SQL.replace('<=', '>')}",
         "rules_clean": PART_RULES_SQL,
@@ -775,6 +869,10 @@ SELECT code, count(*) AS alerts, min(window_start) AS first_window,
 GROUP BY code""",
         "alerts_stream": f"{found} WHERE CAST(window_end AS TIMESTAMP) {CLOSED_SQL}",
         "alerts_stream_restart": f"{found} WHERE CAST(window_end AS TIMESTAMP) {CLOSED_SQL}",
+        "alerts_stream_supervised": f"""
+WITH {ALERTS_SQL}
+SELECT *, CAST(1 AS BIGINT) AS times_shown FROM alerts
+WHERE CAST(window_end AS TIMESTAMP) {CLOSED_SQL}""",
         "alerts_stream_two_sinks": f"""
 WITH {ALERTS_SQL},
 codes AS (SELECT window_start, string_agg(code, ',' ORDER BY code) AS codes

@@ -10,18 +10,19 @@ from __future__ import annotations
 import argparse
 from dataclasses import replace
 
+from pyspark.sql.streaming import StreamingQuery
+
 from dewpoint import session
 from dewpoint.operators import load_rules
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 from dewpoint.sources import (
-    AVAILABLE_NOW,
     ConsoleEndpoint,
     FileEndpoint,
     KafkaEndpoint,
     KafkaSettings,
     first_start,
 )
-from dewpoint.streaming import run, start_fan_out, start_monitor
+from dewpoint.streaming import start_fan_out, start_monitor, supervise
 
 
 def parser() -> argparse.ArgumentParser:
@@ -49,6 +50,8 @@ def parser() -> argparse.ArgumentParser:
     monitor.add_argument("--group", default=None, help="start of the consumer group's name; topics")
     monitor.add_argument("--trigger", default=None, help="interval or availableNow")
     for job, start in ((watch, "earliest"), (monitor, "latest")):
+        job.add_argument("--restarts", type=int, default=0, help="after failures in a row")
+        job.add_argument("--pause", type=float, default=1.0, help="seconds before a restart")
         job.add_argument("--max-files", type=int, default=None, help="per micro-batch; folders")
         job.add_argument(
             "--start",
@@ -91,11 +94,12 @@ def main(argv: list[str] | None = None) -> None:
     try:
         if isinstance(source, FileEndpoint) and args.start == "latest":
             source = replace(source, since=first_start(spark, args.checkpoint))
-        if args.job == "watch":
-            console = [] if args.quiet else [ConsoleEndpoint()]
-            if console:
-                load_rules(spark, args.rules).show()
-            queries = [
+        console = [] if args.job == "monitor" or args.quiet else [ConsoleEndpoint()]
+        if console:
+            load_rules(spark, args.rules).show()
+
+        def watch() -> list[StreamingQuery]:
+            return [
                 start_fan_out(
                     spark,
                     source,
@@ -109,8 +113,9 @@ def main(argv: list[str] | None = None) -> None:
                     trigger=args.trigger,
                 )
             ]
-        else:
-            queries = start_monitor(
+
+        def monitor() -> list[StreamingQuery]:
+            return start_monitor(
                 spark,
                 source,
                 checkpoint=args.checkpoint,
@@ -118,11 +123,9 @@ def main(argv: list[str] | None = None) -> None:
                 statistics_to=endpoint(args.statistics) if args.statistics else ConsoleEndpoint(),
                 trigger=args.trigger,
             )
-        if args.trigger == AVAILABLE_NOW:
-            for query in queries:
-                query.awaitTermination()
-        else:
-            run(spark, queries)
+
+        start = watch if args.job == "watch" else monitor
+        supervise(spark, start, restarts=args.restarts, pause=args.pause)
     except KeyboardInterrupt:
         pass
     finally:

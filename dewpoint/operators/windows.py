@@ -14,9 +14,14 @@ from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 
 # The measures and their columns in a reading.
 MEASURES = {"t": "temperature", "h": "humidity"}
+# The fields that are read from a message.
+READ = ("sensor_id", *MEASURES.values(), "event_time")
 # Of a window and two exponent groups: per measure three parts of the sum, and its values.
 GROUPS = tuple(f"{m}_group" for m in MEASURES)
 SUMS = tuple(f"{m}_{i}" for m in MEASURES for i in (0, 1, 2, "n"))
+# What a measured stream observes: its messages, and the windows it closes; and what it
+# counts beside the sums: the readings, with or without values.
+ARRIVED, CLOSED, READINGS = "arrived", "closed", "readings"
 
 
 def sliding_averages(
@@ -24,6 +29,7 @@ def sliding_averages(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
+    measured: bool = False,
 ) -> DataFrame:
     """Average temperature and humidity over all sensors per sliding window.
 
@@ -45,17 +51,42 @@ def sliding_averages(
     The readings of a window are summed by the groups of their exponents, of which
     measurements of one kind have few. A second aggregate puts these together; on a stream
     it has a state of its own, which is empty between batches.
+
+    A ``measured`` stream also observes what it reads and closes, for the reports of
+    ``streaming.BatchMeasurements``. Its state holds a count more, so a job is measured
+    from its first start or not at all.
     """
-    measured = _in_units(readings)
-    if readings.isStreaming:
-        window = F.window("event_time", size, slide)
-        timed = measured.withWatermark("event_time", watermark)
-        summed = timed.groupBy(window, *GROUPS).agg(*_sums_of_units())
-    else:
-        summed = _summed_from_panes(measured, size, slide)
+    if not readings.isStreaming:
+        return averages_of_sums(_summed_from_panes(_in_units(readings), size, slide))
+    counts = _sums_of_units()
+    if measured:
+        readings = _observed(readings, size, slide)
+        counts.append(F.count(F.lit(1)).alias(READINGS))
+    timed = _in_units(readings).withWatermark("event_time", watermark)
+    summed = timed.groupBy(F.window("event_time", size, slide), *GROUPS).agg(*counts)
+    if measured:
+        summed = summed.observe(CLOSED, F.sum(READINGS).alias("window_readings"))
     return averages_of_sums(summed)
 
 
+def _observed(readings: DataFrame, size: str, slide: str) -> DataFrame:
+    """Counts messages, those without any readable field, readings without a time, and
+    readings once for every window they belong to."""
+    length, step = _micros(readings.sparkSession, size, slide)
+    micros = F.unix_micros("event_time")
+    # Windows start at multiples of the slide, later than a length before the reading.
+    first, last = (t - F.pmod(t, F.lit(step)) for t in (micros - length, micros))
+    fields = [c for c in readings.columns if c in READ]
+    unreadable = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+    return readings.observe(
+        ARRIVED,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(unreadable).alias("unreadable"),
+        F.count_if(~unreadable & F.col("event_time").isNull()).alias("untimed"),
+        F.sum(((last - first) / step).cast("long")).alias("window_readings"),
+    )
+
+
 def averages_of_sums(summed: DataFrame) -> DataFrame:
     """Windows from sums by exponent group: ``window`` and the columns of ``GROUPS`` and
     ``SUMS``."""

@@ -16,9 +16,10 @@ def windows_of(
     size: str = WINDOW_SIZE,
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
+    measured: bool = False,
 ) -> DataFrame:
     """Window averages of JSON reading messages."""
-    return sliding_averages(decode_readings(messages), size, slide, watermark)
+    return sliding_averages(decode_readings(messages), size, slide, watermark, measured)
 
 
 def alerts_of(

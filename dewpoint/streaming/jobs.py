@@ -47,16 +47,21 @@ def start_fan_out(
     slide: str = WINDOW_SLIDE,
     watermark: str = WATERMARK,
     trigger: str | None = None,
+    measured: bool = False,
 ) -> StreamingQuery:
     """One query that reads the input once, keeps one state and writes every sink.
 
     The rule file is read, and its size checked, in every micro-batch that closes
     windows, so an edit shows in the next one. All alerts of a batch carry the same
     time. Sinks see a batch at least once; a topic may hold an alert twice after a
-    failure, under the same window and code.
+    failure, under the same window and code. ``measured`` is for ``BatchMeasurements``.
     """
     windows = windows_of(
-        read_stream(spark, source), size=size, slide=slide, watermark=watermark
+        read_stream(spark, source),
+        size=size,
+        slide=slide,
+        watermark=watermark,
+        measured=measured,
     )
 
     def publish(closed: DataFrame, batch_id: int) -> None:

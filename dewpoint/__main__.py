@@ -16,13 +16,14 @@ from dewpoint import session
 from dewpoint.operators import load_rules
 from dewpoint.schemas import WATERMARK, WINDOW_SIZE, WINDOW_SLIDE
 from dewpoint.sources import (
+    AVAILABLE_NOW,
     ConsoleEndpoint,
     FileEndpoint,
     KafkaEndpoint,
     KafkaSettings,
     first_start,
 )
-from dewpoint.streaming import start_fan_out, start_monitor, supervise
+from dewpoint.streaming import run, start_fan_out, start_monitor, supervise
 
 
 def parser() -> argparse.ArgumentParser:
@@ -125,7 +126,15 @@ def main(argv: list[str] | None = None) -> None:
             )
 
         start = watch if args.job == "watch" else monitor
-        supervise(spark, start, restarts=args.restarts, pause=args.pause)
+        if args.restarts:
+            supervise(spark, start, restarts=args.restarts, pause=args.pause)
+            return
+        queries = start()
+        if args.trigger == AVAILABLE_NOW:
+            for query in queries:
+                query.awaitTermination()
+        else:
+            run(spark, queries)
     except KeyboardInterrupt:
         pass
     finally:

@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from dewpoint import __main__ as command_line
 from dewpoint.operators import decode_alerts
 from dewpoint.plans import windows_of
 from dewpoint.schemas import WINDOW_SCHEMA
@@ -146,3 +147,22 @@ def test_supervision_ends_with_the_time_or_the_queries(spark, readings, rule_fil
     assert time.monotonic() - began < 60
     stamps = decode_alerts(read_batch(spark, FileEndpoint(str(tmp_path / "alerts"))))
     assert stamps.select(F.count_distinct("timestamp")).first()[0] == 1
+
+
+def test_command_line_restarts(monkeypatch):
+    monkeypatch.setenv("KAFKA_BOOTSTRAP_SERVERS", "one:9092")
+    seen = {}
+
+    class Session:
+        def stop(self):
+            pass
+
+    monkeypatch.setattr(command_line.session, "build", lambda name: Session())
+    monkeypatch.setattr(
+        command_line, "start_monitor", lambda spark, source, **options: ["query"]
+    )
+    monkeypatch.setattr(
+        command_line, "supervise", lambda spark, start, **how: seen.update(how, queries=start())
+    )
+    command_line.main("monitor --alerts out --checkpoint c --restarts 5 --pause 2".split())
+    assert seen == {"restarts": 5, "pause": 2.0, "queries": ["query"]}

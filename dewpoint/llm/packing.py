@@ -11,26 +11,13 @@ from pyspark.sql import functions as F
 from dewpoint.llm.common import kept, numbered, words_in
 
 
-def cell_of(length: Column, bits: int) -> Column:
-    """Lengths rounded up to ``bits`` significant bits: exact below 2**bits.
-
-    This bounds the histogram by the number of such values, whatever the lengths are:
-    2**bits and half as many for each further doubling.
-    """
-    shift = F.greatest(F.length(F.bin(length)) - bits, F.lit(0))
-    step = F.pow(F.lit(2.0), shift).cast("long")
-    return F.when(length < 2**bits, length).otherwise(
-        (F.floor((length + step - 1) / step) * step).cast("long")
-    )
-
-
 def optimal_boundaries(
     longest: np.ndarray, rows: np.ndarray, total: np.ndarray, buckets: int
 ) -> list[int]:
     """Upper bounds of at most ``buckets`` buckets with the least padding.
 
-    Cells are in rising order, each with its longest length, its rows and their summed
-    length. A bucket of cells i+1..j pads its rows to ``longest[j]``. Dynamic programming
+    Cells, one per length, are in rising order, each with its (longest) length, its rows and
+    their summed length. A bucket of cells i+1..j pads its rows to ``longest[j]``. Dynamic programming
     over the last cell; for a fixed number of buckets the choices of i are lines in
     ``longest[j]`` whose slopes fall with i, so a queue of the lower envelope gives each
     best i in constant time.
@@ -44,7 +31,7 @@ def optimal_boundaries(
     for _ in range(min(buckets, cells)):
         lines: deque = deque()  # (slope, intercept, i)
         now: list[int | None] = [None] * (cells + 1)
-        choice = [0] * (cells + 1)
+        choice = np.zeros(cells + 1, dtype=np.int32)
         for j in range(1, cells + 1):
             if best[j - 1] is not None:
                 line = (-n[j - 1], best[j - 1] + s[j - 1], j - 1)
@@ -64,7 +51,7 @@ def optimal_boundaries(
     bounds, j = [], cells
     for k in range(used, -1, -1):
         bounds.append(ends[j - 1])
-        j = choices[k][1][j]
+        j = int(choices[k][1][j])
     return bounds[::-1]
 
 
@@ -84,7 +71,6 @@ def pack_documents(
     text: str = "text",
     buckets: int = 16,
     token_budget: int = 65_536,
-    significant_bits: int = 11,
 ) -> DataFrame:
     """Every document with its batch.
 
@@ -97,8 +83,11 @@ def pack_documents(
     ``oversize``. Texts stay whole. Repeated rows are documents like others; no documents
     give no rows; other columns are not read.
 
-    Only the histogram (see ``cell_of``) reaches the driver. Buckets of any size are cut
-    into batches by ``numbered``, without sorting them whole.
+    Only the histogram reaches the driver: a row for each length that occurs. Texts of d
+    different lengths hold at least d * (d - 1) / 2 words, so there are at most about the
+    square root of twice the words of all texts, 6 million for 100 TB and far fewer in
+    practice; the programme is linear in them. Buckets of any size are cut into batches by
+    ``numbered``, without sorting them whole.
     """
     rows = kept(
         docs.select(
@@ -108,25 +97,10 @@ def pack_documents(
         )
     )
     histogram = (
-        rows.groupBy(cell_of(F.col("length"), significant_bits).alias("cell"))
-        .agg(
-            F.max("length").alias("longest"),
-            F.count(F.lit(1)).alias("rows"),
-            F.sum("length").alias("total"),
-        )
-        .toPandas()
-        .sort_values("cell")
-    )
-    bounds = (
-        optimal_boundaries(
-            histogram["longest"].to_numpy(),
-            histogram["rows"].to_numpy(),
-            histogram["total"].to_numpy(),
-            buckets,
-        )
-        if len(histogram)
-        else [0]
+        rows.groupBy("length").agg(F.count(F.lit(1)).alias("rows")).toPandas().sort_values("length")
     )
+    lengths, counts = histogram["length"].to_numpy(), histogram["rows"].to_numpy()
+    bounds = optimal_boundaries(lengths, counts, lengths * counts, buckets) if len(lengths) else [0]
     length_of = F.array(*[F.lit(b).cast("long") for b in bounds])
     bucket = sum((F.when(F.col("length") > b, 1).otherwise(0) for b in bounds[:-1]), F.lit(0))
     bucketed = rows.withColumn("bucket", bucket.cast("int")).withColumn(

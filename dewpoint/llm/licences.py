@@ -1,7 +1,9 @@
-"""Licences of files: statements by TF-IDF cosine, others from the nearest directory."""
+"""Licences of files: headers, licence texts and statements by TF-IDF cosine to templates,
+others from the nearest directory."""
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from math import log, sqrt
@@ -11,81 +13,164 @@ from pyspark.sql import functions as F
 
 from dewpoint.llm.common import BROADCAST_ROWS, kept
 
-# Licence statements as commonly written, by SPDX name where there is one.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0 Universal.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "ISC": "Released under the ISC License.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "proprietary": "All rights reserved.",
+# Names of licences, by SPDX identifier where there is one.
+NAMES = {
+    "AGPL-3.0": ["GNU Affero General Public License, version 3"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-NC-4.0": [
+        "CC BY-NC 4.0",
+        "Creative Commons Attribution-NonCommercial 4.0 International License",
+    ],
+    "CC-BY-SA-4.0": [
+        "CC BY-SA 4.0",
+        "Creative Commons Attribution-ShareAlike 4.0 International License",
+    ],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+    "GPL-2.0": ["GNU General Public License, version 2"],
+    "GPL-3.0": ["GNU General Public License, version 3"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": ["Mozilla Public License, v. 2.0", "Mozilla Public License Version 2.0"],
 }
-# Words of everyday prose; "mit" is one in German.
-COMMON = {"all", "by", "in", "is", "mit", "of", "the", "this", "to", "under", "work"}
+# How a name is stated.
+STATEMENTS = (
+    "The {} license",
+    "Licensed under the {}",
+    "Released under the {}",
+    "Distributed under the terms of the {}",
+    "This work is licensed under the {}",
+    "This file is subject to the terms of the {}",
+)
+# Passages of the licences themselves and of their file headers.
+PASSAGES = {
+    "Apache-2.0": [
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this '
+        "file except in compliance with the License. You may obtain a copy of the License at",
+    ],
+    "BSD-2-Clause": [
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met:",
+    ],
+    "BSD-3-Clause": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used "
+        "to endorse or promote products derived from this software without specific prior "
+        "written permission.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+        "or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ],
+    "MIT": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+        'software and associated documentation files (the "Software"), to deal in the Software '
+        "without restriction, including without limitation the rights to use, copy, modify, "
+        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions:",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. "
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/.",
+    ],
+    "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "GPL-3.0": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "AGPL-3.0": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "CC0-1.0": ["Dedicated to the public domain under CC0 1.0 Universal"],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain."
+    ],
+    "proprietary": ["All rights reserved."],
+}
+GNU_HEADER = (
+    "This program is free software; you can redistribute it and/or modify it under the terms of "
+    "the GNU {kind}General Public License as published by the Free Software Foundation; either "
+    "version {version} of the License, or (at your option) any later version."
+)
+GNU = {
+    "AGPL-3.0": ("Affero ", "3"),
+    "GPL-2.0": ("", "2"),
+    "GPL-3.0": ("", "3"),
+    "LGPL-2.1": ("Lesser ", "2.1"),
+    "LGPL-3.0": ("Lesser ", "3"),
+}
+# A unit of text without any of these words states no licence.
+CUES = (
+    "licence|licenced|license|licensed|licenses|spdx|reserved|permission|redistribution|cc|cc0|"
+    "unencumbered"
+)
+# Templates that hold for others too: they count where nothing stronger is found.
+WEAK = {"proprietary": 0, "BSD-2-Clause": 1}
+STRONG = 2
 LICENCE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 
 
-class TemplateModel:
-    """TF-IDF weights of the templates; tokens of no template weigh as the rarest.
+def default_templates() -> list[tuple[str, str]]:
+    """Licences and their templates: names as they are stated, identifiers, passages."""
+    found = []
+    for licence, names in NAMES.items():
+        found += [(licence, statement.format(name)) for name in names for statement in STATEMENTS]
+        found.append((licence, f"SPDX-License-Identifier: {licence}"))
+    for licence, passages in PASSAGES.items():
+        found += [(licence, passage) for passage in passages]
+    for licence, (kind, version) in GNU.items():
+        found.append((licence, GNU_HEADER.format(kind=kind, version=version)))
+        found += [(licence, f"SPDX-License-Identifier: {licence}-{x}") for x in ("only", "or-later")]
+    return found
 
-    A line reaches cosine ``least`` with a template only if it holds one of the template's
-    cues: tokens without which the rest of the template could not give it. Common words
-    come last in the choice, so that few lines of prose hold a cue.
-    """
 
-    def __init__(self, templates: dict[str, str], least: float):
-        split = {n: Counter(re.findall(r"[a-z0-9]+", t.lower())) for n, t in templates.items()}
-        seen = Counter(token for counts in split.values() for token in counts)
+class TemplateModel:
+    """TF-IDF weights of the templates; tokens of no template weigh as the rarest."""
+
+    def __init__(self, templates: list[tuple[str, str]]):
+        split = [
+            (licence, Counter(re.findall(r"[a-z0-9]+", text.lower()))) for licence, text in templates
+        ]
+        seen = Counter(token for _, counts in split for token in counts)
         self.unknown = log(1 + len(templates)) + 1
         self.idf = {t: log((1 + len(templates)) / (1 + n)) + 1 for t, n in sorted(seen.items())}
-        self.weights = {
-            name: {t: n * self.idf[t] for t, n in sorted(counts.items())}
-            for name, counts in split.items()
-        }
-        self.norms = {n: sqrt(sum(w * w for w in ws.values())) for n, ws in self.weights.items()}
-        cues = set()
-        for name, weights in self.weights.items():
-            rest = self.norms[name] ** 2
-            for token, weight in sorted(weights.items(), key=lambda x: (x[0] in COMMON, -x[1], x[0])):
-                if rest < (least * self.norms[name]) ** 2:
-                    break
-                cues.add(token)
-                rest -= weight * weight
-        self.cues = sorted(cues)
-
-
-def tokens_of(line: Column) -> Column:
+        self.templates = []
+        for licence, counts in split:
+            weights = {t: n * self.idf[t] for t, n in sorted(counts.items())}
+            self.templates.append(
+                {
+                    "licence": licence,
+                    "strength": WEAK.get(licence, STRONG),
+                    "norm": sqrt(sum(w * w for w in weights.values())),
+                    "terms": [{"token": t, "weight": w * self.idf[t]} for t, w in weights.items()],
+                }
+            )
+
+
+def tokens_of(unit: Column) -> Column:
     return F.array_sort(
-        F.filter(F.split(F.lower(line), "[^a-z0-9]+"), lambda t: F.length(t) > 0)
+        F.filter(F.split(F.lower(unit), "[^a-z0-9]+"), lambda t: F.length(t) > 0)
     )
 
 
-def best_template(lines: Column, model: TemplateModel) -> Column:
-    """For each of an array of lines the nearest template as ``similarity, licence``.
+def best_template(units: Column, model: TemplateModel, least: float) -> Column:
+    """For each of an array of texts the nearest template as ``strength, similarity,
+    licence``; the strength is -1 where the cosine is below ``least``.
 
-    Both sides are sparse: a line's norm comes from its tokens in sorted order, equal ones
-    next to each other, its products from the tokens of the templates only.
+    Both sides are sparse: a text's norm comes from its tokens in sorted order, equal ones
+    next to each other; of its tokens those of the templates are counted once, so that the
+    products cost the same for texts of any length.
     """
-    idf = F.create_map(*[F.lit(x) for pair in model.idf.items() for x in pair])
-    templates = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("licence"),
-                F.lit(model.norms[name]).alias("norm"),
-                F.array(
-                    *[
-                        F.struct(F.lit(t).alias("token"), F.lit(w * model.idf[t]).alias("weight"))
-                        for t, w in weights.items()
-                    ]
-                ).alias("terms"),
-            )
-            for name, weights in model.weights.items()
-        ]
+    # Literals as JSON, which is read once.
+    idf = F.from_json(F.lit(json.dumps(model.idf)), "map<string, double>")
+    templates = F.from_json(
+        F.lit(json.dumps(model.templates)),
+        "array<struct<licence: string, strength: int, norm: double, "
+        "terms: array<struct<token: string, weight: double>>>>",
     )
 
     def add(state: Column, token: Column) -> Column:
@@ -104,26 +189,44 @@ def best_template(lines: Column, model: TemplateModel) -> Column:
             add,
             lambda state: state["sum"],
         )
-        matched = F.filter(tokens, lambda t: F.array_contains(F.map_keys(idf), t))
-        return F.struct(square.alias("square"), matched.alias("matched"))
+        known = F.array_intersect(tokens, F.map_keys(idf))
+        counts = F.map_from_arrays(
+            known,
+            F.transform(known, lambda k: F.size(F.filter(tokens, lambda t: t == k)).cast("double")),
+        )
+        return F.struct(square.alias("square"), counts.alias("counts"))
 
-    def score(line: Column, template: Column) -> Column:
+    def score(unit: Column, template: Column) -> Column:
         product = F.aggregate(
             template["terms"],
             F.lit(0.0),
             lambda sum_, term: sum_
-            + term["weight"] * F.size(F.filter(line["matched"], lambda t: t == term["token"])),
+            + term["weight"]
+            * F.coalesce(F.try_element_at(unit["counts"], term["token"]), F.lit(0.0)),
         )
-        cosine = F.try_divide(product, template["norm"] * F.sqrt(line["square"]))
+        cosine = F.try_divide(product, template["norm"] * F.sqrt(unit["square"]))
         return F.struct(
             F.round(F.coalesce(cosine, F.lit(0.0)), 9).alias("similarity"),
+            template["strength"].alias("strength"),
             template["licence"].alias("licence"),
         )
 
+    def ranked(scored: Column) -> Column:
+        return F.struct(
+            F.when(scored["similarity"] >= least, scored["strength"])
+            .otherwise(F.lit(-1))
+            .alias("strength"),
+            scored["similarity"].alias("similarity"),
+            scored["licence"].alias("licence"),
+        )
+
     # A lambda's argument is computed once, an expression in its body at every use.
-    vectors = F.transform(F.transform(lines, tokens_of), sparse)
+    vectors = F.transform(F.transform(units, tokens_of), sparse)
     return F.transform(
-        vectors, lambda line: F.array_max(F.transform(templates, lambda t: score(line, t)))
+        vectors,
+        lambda unit: F.array_max(
+            F.transform(F.transform(templates, lambda t: score(unit, t)), ranked)
+        ),
     )
 
 
@@ -132,20 +235,22 @@ def scan_licences(
     *,
     path: str = "path",
     text: str = "text",
-    templates: dict[str, str] | None = None,
+    templates: list[tuple[str, str]] | None = None,
     least: float = 0.8,
     licence_names: str = LICENCE_NAMES,
 ) -> DataFrame:
     """``files`` without their text, with ``licence, similarity, origin, licence_directory``.
 
-    A statement is a line whose TF-IDF cosine to a template is at least ``least``; a file's
-    own licence is its nearest one (``origin`` "own"). A licence file is one named like
-    ``licence_names`` or one whose first line with words is a statement; it licenses its
-    directory (the surest, then the first path, if a directory has several). A file
-    without a licence of its own inherits that of its nearest licensed ancestor directory
+    A statement is a line, or a block of lines up to one without letters or digits, that
+    holds one of ``CUES`` and whose TF-IDF cosine to a template (``licence, text``) is at
+    least ``least``. A file's own licence is its nearest one (``origin`` "own"), but those of
+    ``WEAK`` only without a stronger one. A licence file is one named like
+    ``licence_names`` or one whose first line or block with words is a statement; it
+    licenses its directory (the surest, then the last by name, if a directory has several). A
+    file without a licence of its own inherits that of its nearest licensed ancestor directory
     (``origin`` "inherited"), else licence and similarity are null and origin "none".
 
-    All lines of the whole text are looked at. Null or empty texts have no statement, a null
+    All lines and blocks of the whole text are looked at. Null or empty texts have no statement, a null
     path no directory; repeated rows are judged alike; an empty table gives no rows.
     Columns of ``files`` with the names of results are replaced.
 
@@ -153,7 +258,7 @@ def scan_licences(
     the files; a directory holding a third of all files costs one row there. It is
     broadcast if it is counted to be small, else joined by a shuffle.
     """
-    model = TemplateModel(templates or TEMPLATES, least)
+    model = TemplateModel(templates or default_templates())
     results = ["licence", "similarity", "origin", "licence_directory"]
     judged = kept(_own_statements(files.drop(*results), path, text, model, least).drop(text, "_nearest"))
     slim = judged.select(
@@ -163,7 +268,7 @@ def scan_licences(
     licensed = (
         slim.filter(F.col("_opens") | F.regexp_like(name, F.lit(licence_names)))
         .groupBy("_directory")
-        .agg(F.max(F.struct(F.col("_own.similarity"), F.col("_own.licence"))).alias("_given"))
+        .agg(F.max("_own").alias("_given"))
         .select(F.col("_directory").alias("_ancestor"), "_given")
     )
     directories = judged.select("_directory").filter("_directory IS NOT NULL").distinct()
@@ -197,20 +302,31 @@ def scan_licences(
 def _own_statements(
     files: DataFrame, path: str, text: str, model: TemplateModel, least: float
 ) -> DataFrame:
-    cue = rf"(?i)(^|[^a-z0-9])({'|'.join(model.cues)})([^a-z0-9]|$)"
+    cue = F.lit(rf"(?i)(^|[^a-z0-9])({CUES})([^a-z0-9]|$)")
     content = F.coalesce(F.col(text), F.lit(""))
     lines = F.split(content, "\\r\\n|[\\n\\r]")
-    has_cue = F.regexp_like(content, F.lit(cue))
+    end = "(?>\\r\\n|[\\n\\r])"
+    blocks = F.split(content, f"{end}[^\\p{{L}}\\p{{N}}\\n\\r]*{end}")
+    units = F.array_distinct(F.concat(lines, blocks))
     nearest = F.array_max(
-        best_template(F.filter(lines, lambda line: F.regexp_like(line, F.lit(cue))), model)
+        best_template(F.filter(units, lambda unit: F.regexp_like(unit, cue)), model, least)
+    )
+    first = [
+        F.slice(F.filter(some, lambda unit: F.regexp_like(unit, F.lit(r"\w"))), 1, 1)
+        for some in (lines, blocks)
+    ]
+    opening = F.array_max(
+        best_template(
+            F.filter(F.concat(*first), lambda unit: F.regexp_like(unit, cue)), model, least
+        )
+    )
+    found = files.withColumn("_nearest", F.when(F.regexp_like(content, cue), nearest)).withColumn(
+        "_own", F.when(F.col("_nearest.strength") >= 0, F.col("_nearest"))
     )
-    worded = F.filter(lines, lambda line: F.regexp_like(line, F.lit(r"\w")))
-    opening = F.array_max(best_template(F.slice(worded, 1, 1), model))["similarity"]
-    found = files.withColumn("_nearest", F.when(has_cue, nearest)).withColumn(
-        "_own", F.when(F.col("_nearest.similarity") >= least, F.col("_nearest"))
+    opens = F.when(F.col("_own").isNotNull(), opening["strength"] >= 0)
+    return found.withColumn("_opens", F.coalesce(opens, F.lit(False))).withColumn(
+        "_directory", F.regexp_replace(F.col(path), "/?[^/]*$", "")
     )
-    opens = F.when(F.col("_own").isNotNull(), opening >= least)
-    return found.withColumn("_opens", F.coalesce(opens, F.lit(False))    ).withColumn("_directory", F.regexp_replace(F.col(path), "/?[^/]*$", ""))
 
 
 def ancestors(directory: Column) -> Column:
